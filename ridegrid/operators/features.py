@@ -30,6 +30,12 @@ def lag_features(series: DataFrame, lags=DEFAULT_LAGS, hour_col: str = "pickup_h
     return out
 
 
+def _round4(c):
+    # Sums that cancel to ~0 can round to -0.0 or 0.0 depending on the order of
+    # addition; adding 0.0 maps -0.0 to 0.0 so the result is order-independent.
+    return F.round(c, 4) + F.lit(0.0)
+
+
 def fourier_features(series: DataFrame, periods=DEFAULT_PERIODS, hour_col: str = "pickup_hour",
                      loc_col: str = "pickup_location_id", value_col: str = "rides") -> DataFrame:
     """Discrete Fourier coefficients of each location's series at given periods.
@@ -51,10 +57,10 @@ def fourier_features(series: DataFrame, periods=DEFAULT_PERIODS, hour_col: str =
     for p in periods:
         one = agg.select(
             loc_col, F.lit(p).alias("period_hours"),
-            F.round(F.col(f"cos_{p}"), 4).alias("cos_coef"),
-            F.round(F.col(f"sin_{p}"), 4).alias("sin_coef"),
-            F.round(F.sqrt(F.col(f"cos_{p}") ** 2 + F.col(f"sin_{p}") ** 2) * 2
-                    / F.col("n_hours"), 4).alias("amplitude"))
+            _round4(F.col(f"cos_{p}")).alias("cos_coef"),
+            _round4(F.col(f"sin_{p}")).alias("sin_coef"),
+            _round4(F.sqrt(F.col(f"cos_{p}") ** 2 + F.col(f"sin_{p}") ** 2) * 2
+                    / F.col("n_hours")).alias("amplitude"))
         stacked = one if stacked is None else stacked.unionByName(one)
     return stacked
 

@@ -610,10 +610,10 @@ def _fourier_sql() -> str:
         ang = f"(2 * pi() * (CAST(floor(epoch(pickup_hour) / 3600) AS BIGINT) % {p}) / {p})"
         parts.append(f"""
 SELECT pickup_location_id, {p} AS period_hours,
-       round(sum(rides * cos({ang})), 4) AS cos_coef,
-       round(sum(rides * sin({ang})), 4) AS sin_coef,
+       round(sum(rides * cos({ang})), 4) + CAST(0 AS DOUBLE) AS cos_coef,
+       round(sum(rides * sin({ang})), 4) + CAST(0 AS DOUBLE) AS sin_coef,
        round(sqrt(pow(sum(rides * cos({ang})), 2) + pow(sum(rides * sin({ang})), 2)) * 2
-             / count(*), 4) AS amplitude
+             / count(*), 4) + CAST(0 AS DOUBLE) AS amplitude
 FROM demand GROUP BY pickup_location_id""")
     return sql(" UNION ALL ".join(parts), "demand")
 

@@ -19,6 +19,11 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(E.queries())
     spark = build_session()
+    # optional: prove the results do not depend on the session's zone / ANSI mode
+    if os.environ.get("ORACLE_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
+    if os.environ.get("ORACLE_ANSI"):
+        spark.conf.set("spark.sql.ansi.enabled", os.environ["ORACLE_ANSI"])
     con = duck(sf)
     oracle = E.oracle_sql()
     bad = 0
