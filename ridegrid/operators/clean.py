@@ -247,3 +247,35 @@ def clean_stats(df: DataFrame, year: int | None = None, month: int | None = None
         stats = stats.select(F.lit(year).alias("year"), F.lit(month).alias("month"), "*")
     return stats.select(*KEYS, "total_records", "valid_records", "records_dropped",
                         "percent_dropped", *[f"dropped_{s}" for s in STAGES])
+
+
+# Wording of the per-run drop report, one line per figure.
+REPORT_LINES = [
+    ("Total records: ", "total_records"),
+    ("Valid records: ", "valid_records"),
+    ("Records dropped: ", "records_dropped"),
+    ("Records dropped due to missing values: ", "dropped_missing"),
+    ("Records dropped by date range filter: ", "dropped_date_range"),
+    ("Records dropped by duration filter: ", "dropped_duration"),
+    ("Records dropped by total amount filter: ", "dropped_total_amount"),
+    ("Records dropped by distance filter: ", "dropped_distance"),
+    ("Records dropped by NYC location filter: ", "dropped_location"),
+    ("Records dropped by passenger count filter: ", "dropped_passenger_count"),
+]
+
+
+def stats_report(stats: DataFrame) -> DataFrame:
+    """The drop statistics as text lines with thousands separators (year, month, line_no, line).
+
+    The percentage follows the dropped count as ``(12.34%)``; formatting runs in
+    Spark (``format_number``), one small row per month in, ten rows out.
+    """
+    lines = []
+    for i, (label, col) in enumerate(REPORT_LINES, start=1):
+        text = F.concat(F.lit(label), F.format_number(F.col(col), 0))
+        if col == "records_dropped":
+            text = F.concat(text, F.lit(" ("), F.format_number(F.col("percent_dropped"), 2),
+                            F.lit("%)"))
+        lines.append(F.struct(F.lit(i).alias("line_no"), text.alias("line")))
+    return (stats.select(*KEYS, F.explode(F.array(*lines)).alias("l"))
+            .select(*KEYS, "l.line_no", "l.line"))

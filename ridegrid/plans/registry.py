@@ -633,3 +633,44 @@ def forecast_accuracy(spark, sf):
     dem = fx.demand(spark, sf)
     pred = FC.demand_forecast(dem, FORECAST_SPLIT)
     return M.forecast_metrics(M.actual_vs_predicted(dem, pred), ["pickup_location_id"])
+
+
+# ------------------------------------------------------------ report, catalog, counts
+_REPORT_LABELS = [(label, col) for label, col in C.REPORT_LINES]
+
+
+def _report_sql() -> str:
+    parts = []
+    for i, (label, col) in enumerate(_REPORT_LABELS, start=1):
+        text = f"'{label}' || format('{{:,}}', {col})"
+        if col == "records_dropped":
+            text += " || ' (' || format('{:,.2f}', percent_dropped) || '%)'"
+        parts.append(f"SELECT year, month, {i} AS line_no, {text} AS line FROM stats")
+    return _STATS_SQL.replace("\nSELECT 2024 AS year", "\n, stats AS (SELECT 2024 AS year", 1) \
+        .rstrip() + ")\n" + " UNION ALL ".join(parts)
+
+
+@register("clean_stats_report", _report_sql())
+def clean_stats_report(spark, sf):
+    return C.stats_report(C.clean_stats(_trips(spark, sf), Y, MO))
+
+
+@register("named_table_scan", sql("SELECT pickup_hour, pickup_location_id, rides FROM demand",
+                                  "demand"))
+def named_table_scan(spark, sf):
+    path = scratch_path(spark, "named-demand")
+    SV.serve(fx.demand(spark, sf), path)
+    name = "taxi_rides_" + path.rsplit("-", 1)[-1]
+    SV.register_table(spark, name, path)
+    return spark.table(name).select("pickup_hour", "pickup_location_id", "rides")
+
+
+@register("row_counts", sql("""
+SELECT count(*) AS n_rows,
+       count(*) FILTER (WHERE pickup_location_id = 43) AS n_rows_43,
+       count(*) FILTER (WHERE pickup_location_id = 74) AS n_rows_74,
+       count(*) FILTER (WHERE pickup_location_id = 132) AS n_rows_132
+FROM demand""", "demand"))
+def row_counts(spark, sf):
+    from ..schemas import LOCATION_NAMES
+    return Q.row_counts(fx.demand(spark, sf), sorted(LOCATION_NAMES))

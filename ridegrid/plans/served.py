@@ -95,8 +95,11 @@ def location_summary(demand: DataFrame) -> DataFrame:
     )
 
 
-def table_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_rows"))
+def row_counts(df: DataFrame, locations: list[int]) -> DataFrame:
+    """Whole-table row count plus the rows of each listed location, in one pass."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  *[F.count_if(F.col("pickup_location_id") == loc).alias(f"n_rows_{loc}")
+                    for loc in locations])
 
 
 def column_profile(df: DataFrame) -> DataFrame:

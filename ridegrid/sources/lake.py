@@ -21,18 +21,44 @@ PREDICTION_KEYS = ["pickup_location_id", "year", "month", "day", "hour"]
 
 
 # -------------------------------------------------------------------- scans
+def _month_glob(base: str, year: int, month: int) -> str:
+    # Month folders may be written "month=1" (Spark) or "month=01" (hand-landed files).
+    return f"{base.rstrip('/')}/year={year}/month={{{month},{month:02d}}}"
+
+
 def read_trips(spark: SparkSession, base: str, year: int, month: int) -> DataFrame:
-    """One landing month of raw trips; only that folder is listed and read."""
-    return (spark.read.option("basePath", base).parquet(base)
-            .where((F.col("year") == year) & (F.col("month") == month)))
+    """One landing month of raw trips.
+
+    Only that month's folder is listed (a glob under ``basePath``), so opening
+    one month of a lake with years of data does not list every file; the
+    partition columns are still discovered and the equality filter keeps the
+    plan correct if the glob matched more than one spelling.
+    """
+    cond = (F.col("year") == year) & (F.col("month") == month)
+    try:
+        df = spark.read.option("basePath", base).parquet(_month_glob(base, year, month))
+    except Exception as e:  # month not landed: an empty month of the lake
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        df = spark.read.parquet(base)
+    return df.where(cond)
 
 
 def read_demand(spark: SparkSession, base: str, years: list[int] | None = None) -> DataFrame:
-    """All months of the listed years (absent months simply have no folder)."""
-    df = spark.read.parquet(base)
-    if years:
-        df = df.where(F.col("year").isin(list(years)))
-    return df
+    """All months of the listed years (absent months simply have no folder).
+
+    With ``years`` only those year folders are listed (a glob under ``basePath``).
+    """
+    if not years:
+        return spark.read.parquet(base)
+    glob = f"{base.rstrip('/')}/year={{{','.join(str(y) for y in sorted(set(years)))}}}"
+    try:
+        df = spark.read.option("basePath", base).parquet(glob)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        df = spark.read.parquet(base)
+    return df.where(F.col("year").isin(list(years)))
 
 
 def read_predictions(spark: SparkSession, base: str, years: list[int] | None = None,

@@ -71,3 +71,37 @@ def load_predictions(df: DataFrame) -> DataFrame:
     if "prediction_datetime" not in df.columns:
         df = df.withColumn("prediction_datetime", from_parts("year", "month", "day", "hour"))
     return conform(df, PREDICTED_RIDES)
+
+
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> str:
+    """Expose a written table under a name (session view); ``spark.table(name)`` reads it."""
+    spark.read.format(fmt).load(path).createOrReplaceTempView(name)
+    return name
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
+              partition_column: str | None = None, lower: int | None = None,
+              upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """A database table as a DataFrame (parallel reads when a partition column is given).
+
+    Needs a reachable database and its JDBC driver on the classpath; nothing in
+    this repository starts one, so this path is not exercised by the tests.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    if partition_column:
+        reader = (reader.option("partitionColumn", partition_column)
+                  .option("lowerBound", lower).option("upperBound", upper)
+                  .option("numPartitions", num_partitions or 8))
+    return reader.load()
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",
+               properties: dict | None = None, schema: T.StructType | None = None) -> None:
+    """Served-table sink into a database (replace or append), after ``conform``."""
+    out = conform(df, schema) if schema is not None else df
+    w = out.write.format("jdbc").option("url", url).option("dbtable", table).mode(mode)
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.save()
