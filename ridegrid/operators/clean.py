@@ -173,8 +173,19 @@ def _bounds(prepared: DataFrame, rel_err: float, exact: bool) -> DataFrame:
     return upper_bounds(prepared, rel_err=rel_err)
 
 
+def month_bounds(df: DataFrame, year: int | None = None, month: int | None = None,
+                 rel_err: float = QUANTILE_REL_ERR, exact: bool = False) -> DataFrame:
+    """Upper bounds per landing month, from the rows passing the null and month filters.
+
+    Pass it to ``clean_trips`` / ``clean_stats`` / ``tag_stages`` (``bounds=``) to
+    compute it once for several outputs (checkpoint it: one row per month).
+    """
+    return _bounds(_prepared(df, year, month), rel_err, exact)
+
+
 def clean_trips(df: DataFrame, year: int | None = None, month: int | None = None,
-                rel_err: float = QUANTILE_REL_ERR, exact: bool = False) -> DataFrame:
+                rel_err: float = QUANTILE_REL_ERR, exact: bool = False,
+                bounds: DataFrame | None = None) -> DataFrame:
     """All filters of the monthly job; keeps raw columns plus ``duration`` and keys.
 
     Quantile bounds are computed once, on the rows that pass the null and month
@@ -182,7 +193,8 @@ def clean_trips(df: DataFrame, year: int | None = None, month: int | None = None
     has one row per landing month, so broadcasting it is size-safe.
     """
     prepared = _prepared(df, year, month)
-    bounds = _bounds(prepared, rel_err, exact)
+    if bounds is None:
+        bounds = _bounds(prepared, rel_err, exact)
     return (prepared.join(F.broadcast(bounds), KEYS, "inner")
             .where(duration_ok() & amount_ok() & distance_ok() & location_ok() & passengers_ok())
             .drop(*BOUNDED.values()))
@@ -219,8 +231,28 @@ def _first_failed_stage(df: DataFrame) -> Column:
             .when(fails(passengers_ok()), F.lit("passenger_count")))
 
 
+def tag_stages(df: DataFrame, year: int | None = None, month: int | None = None,
+               rel_err: float = QUANTILE_REL_ERR, exact: bool = False,
+               bounds: DataFrame | None = None) -> DataFrame:
+    """Every row with ``duration`` and ``stage``: the first filter it fails (null = kept)."""
+    keyed = with_landing_month(df, year, month)
+    if bounds is None:
+        bounds = _bounds(_prepared(df, year, month), rel_err, exact)
+    return (with_duration(keyed).join(F.broadcast(bounds), KEYS, "left")
+            .withColumn("stage", _first_failed_stage(keyed))
+            .drop(*BOUNDED.values()))
+
+
+def stage_counts():
+    """Aggregates of the waterfall over tagged rows (usable in ``agg`` or ``observe``)."""
+    aggs = [F.count(F.lit(1)).alias("total_records"),
+            F.count_if(F.col("stage").isNull()).alias("valid_records")]
+    return aggs + [F.count_if(F.col("stage") == s).alias(f"dropped_{s}") for s in STAGES]
+
+
 def clean_stats(df: DataFrame, year: int | None = None, month: int | None = None,
-                rel_err: float = QUANTILE_REL_ERR, exact: bool = False) -> DataFrame:
+                rel_err: float = QUANTILE_REL_ERR, exact: bool = False,
+                bounds: DataFrame | None = None) -> DataFrame:
     """Drop waterfall per landing month in one pass (plus the quantile pass).
 
     Each row is tagged with the first stage it fails, then one aggregation
@@ -228,16 +260,15 @@ def clean_stats(df: DataFrame, year: int | None = None, month: int | None = None
     percent_dropped (2 decimals, null for an empty month) and one
     ``dropped_<stage>`` column per stage.
     """
-    keyed = with_landing_month(df, year, month)
-    bounds = _bounds(_prepared(df, year, month), rel_err, exact)
-    tagged = (with_duration(keyed).join(F.broadcast(bounds), KEYS, "left")
-              .select(*KEYS, _first_failed_stage(keyed).alias("stage")))
-    total = F.count(F.lit(1))
-    aggs = [total.alias("total_records"),
-            F.count_if(F.col("stage").isNull()).alias("valid_records")]
-    aggs += [F.count_if(F.col("stage") == s).alias(f"dropped_{s}") for s in STAGES]
+    tagged = tag_stages(df, year, month, rel_err, exact, bounds).select(*KEYS, "stage")
+    single = year is not None and month is not None
+    stats = tagged.agg(*stage_counts()) if single else tagged.groupBy(*KEYS).agg(*stage_counts())
+    return finish_stats(stats, year, month)
+
+
+def finish_stats(stats: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
+    """Add records_dropped / percent_dropped to stage counts and order the columns."""
     single = year is not None and month is not None
-    stats = tagged.agg(*aggs) if single else tagged.groupBy(*KEYS).agg(*aggs)
     dropped = F.col("total_records") - F.col("valid_records")
     stats = stats.withColumn("records_dropped", dropped).withColumn(
         "percent_dropped",

@@ -1,19 +1,26 @@
 """The monthly job and its many-month form, as Spark jobs over the lake.
 
-Per month: raw -> clean (one quantile pass + one filter pass) -> write the
-cleaned layer -> read it back (lineage cut, durable) -> hourly counts
-(checkpointed, small) -> gap-filled grid -> write the demand layer.  The drop
-waterfall comes from one extra aggregation pass instead of a count per filter.
+Per month: quantile bounds (pass 1 over raw, one row per month, checkpointed)
+-> tag each row with the first filter it fails, count the tags with an
+``Observation`` while the kept rows are written to the cleaned layer (pass 2:
+the drop waterfall costs no extra pass) -> read the cleaned layer back (lineage
+cut, two columns) -> hourly counts (checkpointed, small) -> gap-filled grid ->
+write the demand layer.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import KEYS, clean_stats, clean_trips, finalize_trips
+from ..operators.clean import (KEYS, STAGES, clean_stats, clean_trips, finalize_trips,
+                               finish_stats, month_bounds, stage_counts, tag_stages)
 from ..operators.series import hourly_demand
+from ..session import reliable_checkpoint
 from ..sources.lake import read_trips, write_clean_trips, write_demand
 
+STATS_SCHEMA = ("year int, month int, total_records bigint, valid_records bigint, "
+                + ", ".join(f"dropped_{s} bigint" for s in STAGES))
+
 
 def _months_filter(months: list[tuple[int, int]]):
     cond = None
@@ -23,16 +30,25 @@ def _months_filter(months: list[tuple[int, int]]):
     return cond
 
 
+def _write_stats(stats: DataFrame, stats_base: str | None) -> None:
+    if stats_base:
+        (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*KEYS).parquet(stats_base))
+
+
 def run_month(spark: SparkSession, raw_base: str, clean_base: str, demand_base: str,
               year: int, month: int, rel_err: float = 0.01,
               stats_base: str | None = None) -> DataFrame:
     """Clean one landed month and write both layers; returns the drop statistics."""
     raw = read_trips(spark, raw_base, year, month)
-    stats = clean_stats(raw, year, month, rel_err=rel_err)
-    if stats_base:
-        stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(*KEYS).parquet(stats_base)
-    write_clean_trips(finalize_trips(clean_trips(raw, year, month, rel_err=rel_err)), clean_base)
+    bounds = reliable_checkpoint(month_bounds(raw, year, month, rel_err=rel_err))
+    observation = Observation(f"drop_waterfall_{year}_{month:02d}")
+    tagged = tag_stages(raw, year, month, bounds=bounds).observe(observation, *stage_counts())
+    write_clean_trips(finalize_trips(tagged.where(F.col("stage").isNull())), clean_base)
+    counts = observation.get  # filled by the write above: no extra pass over raw
+    row = {"year": year, "month": month, **{k: int(v) for k, v in counts.items()}}
+    stats = finish_stats(spark.createDataFrame([row], STATS_SCHEMA).drop(*KEYS), year, month)
+    _write_stats(stats, stats_base)
     cleaned = (spark.read.parquet(clean_base)
                .where((F.col("year") == year) & (F.col("month") == month)))
     write_demand(hourly_demand(cleaned, KEYS), demand_base)
@@ -42,15 +58,20 @@ def run_month(spark: SparkSession, raw_base: str, clean_base: str, demand_base:
 def run_backfill(spark: SparkSession, raw_base: str, clean_base: str, demand_base: str,
                  months: list[tuple[int, int]] | None = None, rel_err: float = 0.01,
                  stats_base: str | None = None) -> DataFrame:
-    """All (or the listed) landed months in one job, each with its own bounds and grid."""
+    """All (or the listed) landed months in one job, each with its own bounds and grid.
+
+    Bounds are computed once for all months (one row per month, checkpointed)
+    and shared by the statistics and the cleaning pass.
+    """
     raw = spark.read.parquet(raw_base)
     if months:
         raw = raw.where(_months_filter(months))
-    stats = clean_stats(raw, rel_err=rel_err)
+    bounds = reliable_checkpoint(month_bounds(raw, rel_err=rel_err))
+    stats = clean_stats(raw, bounds=bounds)
     if stats_base:
-        stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(*KEYS).parquet(stats_base)
-    write_clean_trips(finalize_trips(clean_trips(raw, rel_err=rel_err)), clean_base)
+        _write_stats(stats, stats_base)
+        stats = spark.read.parquet(stats_base)
+    write_clean_trips(finalize_trips(clean_trips(raw, bounds=bounds)), clean_base)
     cleaned = spark.read.parquet(clean_base)
     if months:
         cleaned = cleaned.where(_months_filter(months))

@@ -73,3 +73,15 @@ def test_landing_stream_builds_landed_months(spark):
         F.col("rides").cast("int"))
     assert rows(got) == rows(S.backfill(fx.trips(spark, SF001)))
     assert os.path.isdir(ckpt.replace("file:", ""))
+
+
+def test_run_month_stats_equal_one_pass_stats_and_empty_month(spark):
+    from conftest import SF01
+    raw = scratch_path(spark, "job-raw2")
+    L.write_partitioned(C.with_landing_month(fx.trips(spark, SF01), 2024, 1), raw)
+    out = scratch_path(spark, "job-out2")
+    observed = run_month(spark, raw, f"{out}/clean", f"{out}/demand", 2024, 1).first().asDict()
+    assert observed == C.clean_stats(fx.trips(spark, SF01), 2024, 1).first().asDict()
+    # a month that never landed: empty layers, zero counts, null percentage
+    empty = run_month(spark, raw, f"{out}/clean", f"{out}/demand", 2024, 5).first()
+    assert empty.total_records == 0 and empty.percent_dropped is None
