@@ -28,10 +28,27 @@ def _ts(v) -> Column:
     return F.lit(v).cast("timestamp_ntz")
 
 
+def _month_index(c: Column) -> Column:
+    return F.year(c) * 12 + F.month(c)
+
+
+def in_time_range(df: DataFrame, time_col: str, start: Column, end: Column) -> DataFrame:
+    """``start <= time_col <= end``; on a (year, month)-partitioned table also a
+    partition predicate derived from the bounds, so only those month folders are read.
+    With literal bounds both sides constant-fold: the time range is pushed into the
+    Parquet scan and the month range prunes partitions.
+    """
+    out = df.where(F.col(time_col).between(start, end))
+    if "year" in df.columns and "month" in df.columns:
+        idx = F.col("year").cast("int") * 12 + F.col("month").cast("int")
+        out = out.where(idx.between(_month_index(start), _month_index(end)))
+    return out
+
+
 def demand_range(demand: DataFrame, start, end, cols: list[str] | None = None) -> DataFrame:
     """Rows with ``start <= pickup_hour <= end`` (inclusive), ordered by hour."""
     cols = cols or demand.columns
-    return (demand.where(F.col("pickup_hour").between(_ts(start), _ts(end)))
+    return (in_time_range(demand, "pickup_hour", _ts(start), _ts(end))
             .select(*cols).orderBy("pickup_hour", *[c for c in cols if c != "pickup_hour"]))
 
 
@@ -51,8 +68,8 @@ def location_week(demand: DataFrame, predictions: DataFrame, anchor_utc,
                   location: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Distinct (hour, rides) and (hour, predicted) pairs inside the week window."""
     start, end = week_window(anchor_utc)
-    a = demand.where(F.col("pickup_hour").between(start, end))
-    p = predictions.where(F.col("prediction_datetime").between(start, end))
+    a = in_time_range(demand, "pickup_hour", start, end)
+    p = in_time_range(predictions, "prediction_datetime", start, end)
     if location is not None:
         a = a.where(F.col("pickup_location_id") == location)
         p = p.where(F.col("pickup_location_id") == location)

@@ -60,4 +60,27 @@ def test_no_python_and_no_cartesian(spark, name):
 
 def test_quantile_bounds_are_a_broadcast_of_one_row_per_month(spark):
     p = plan(C.clean_trips(fx.trips(spark, SF001), 2024, 1))
-    assert "BroadcastExchange" in p and "percentile_approx" in p
+    assert "BroadcastExchange" in p and "max(" in p
+
+
+def test_week_window_prunes_months_and_pushes_hours(spark):
+    from ridegrid.operators import series as S
+    from ridegrid.plans import served as Q
+    base = scratch_path(spark, "plan-demand")
+    L.write_demand(S.backfill(fx.trips(spark, SF001)), base)
+    dem = spark.read.parquet(base)
+    actual, _ = Q.location_week(dem, fx.predictions(spark, SF001), fx.WEEK_ANCHOR_UTC)
+    p = plan(actual)
+    assert "GreaterThanOrEqual(pickup_hour,2024-01-13T10:00)" in p
+    assert "LessThanOrEqual(pickup_hour,2024-01-20T11:00)" in p
+    part = p.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in part and "24289" in part  # 2024 * 12 + 1: only January is read
+    rng = Q.demand_range(dem, "2023-12-01 00:00:00", "2023-12-31 23:00:00")
+    assert "24288" in plan(rng).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_parity_bound_is_a_plain_max(spark):
+    p = plan(C.upper_bounds(C._prepared(fx.trips(spark, SF001), 2024, 1)))
+    assert "percentile_approx" not in p and "max(" in p
+    p = plan(C.upper_bounds(C._prepared(fx.trips(spark, SF001), 2024, 1), p=0.5))
+    assert "percentile_approx" in p
