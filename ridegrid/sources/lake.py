@@ -127,14 +127,25 @@ def write_predictions(pred: DataFrame, path: str, with_time: bool = True) -> str
     ``with_time=False`` leaves the time out of the file (only the path keys
     carry it), the other layout the served loader accepts.
     """
+    keyed = prediction_keys(pred)
+    if not with_time:
+        keyed = keyed.drop("prediction_datetime")
+    # One folder per location-hour: cluster the rows of a location-day into one
+    # task (exactly one file per folder) and spread the days over every core.
+    # An explicit partition count keeps AQE from coalescing the write to one task.
+    n = pred.sparkSession.sparkContext.defaultParallelism
+    spread = keyed.repartition(n, *PREDICTION_KEYS[:-1])
+    return write_partitioned(spread, path, keys=PREDICTION_KEYS, fmt="csv", header=True,
+                             timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+
+
+def prediction_keys(pred: DataFrame) -> DataFrame:
+    """Predictions with the five folder keys derived from the prediction time."""
     h = F.col("prediction_datetime")
-    body = [h] if with_time else []
-    keyed = pred.select(
-        *body, F.col("predicted_rides"),
+    return pred.select(
+        h, F.col("predicted_rides"),
         F.col("pickup_location_id"), F.year(h).alias("year"), F.month(h).alias("month"),
         F.dayofmonth(h).alias("day"), F.hour(h).alias("hour"))
-    return write_partitioned(keyed, path, keys=PREDICTION_KEYS, fmt="csv", header=True,
-                             timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
 
 
 def landed_months(spark: SparkSession, base: str) -> DataFrame:

@@ -15,6 +15,9 @@ import __spark_entry__ as E  # noqa: E402
 from ridegrid.session import build_session  # noqa: E402
 
 
+T_START = time.time()
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(E.queries())
@@ -38,8 +41,9 @@ def main():
         except Exception as e:  # report and continue
             ok, msg = False, f"ERROR {type(e).__name__}: {str(e)[:600]}"
         bad += not ok
-        print(f"{'OK ' if ok else 'BAD'} {n:32s} {time.time() - t0:6.1f}s {msg}", flush=True)
-    print(f"{len(names) - bad}/{len(names)} ok")
+        print(f"{'OK ' if ok else 'BAD'} {n:32s} {time.time() - t0:6.1f}s {msg}  "
+              f"[{time.time() - T_START:.0f}s]", flush=True)
+    print(f"{len(names) - bad}/{len(names)} ok  (wall {time.time() - T_START:.1f}s)", flush=True)
     return bad
 
 
