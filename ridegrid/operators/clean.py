@@ -139,32 +139,56 @@ def upper_bounds(df: DataFrame, p: float = UPPER_QUANTILE, rel_err: float = QUAN
     return df.groupBy(*keys).agg(*aggs)
 
 
+def exact_quantile(df: DataFrame, value: Column | str, p: float, keys: list[str],
+                   name: str = "quantile") -> DataFrame:
+    """Exact p-quantile per key group (linear interpolation, as ``percentile``).
+
+    Distributed rank selection; no task ever holds a whole group:
+      1. pre-aggregate rows into a (keys, value) -> count histogram;
+      2. range-partition the histogram by (keys, value) and checkpoint it, so
+         each partition is a contiguous value range with a stable id;
+      3. per (keys, partition) totals — one row per partition — give each
+         partition the number of rows below it (a window over that small table);
+      4. running sums inside each range partition + that offset = global ranks;
+      5. the values at ranks floor / ceil of p * (n - 1) are interpolated.
+    """
+    from ..session import reliable_checkpoint
+    v = F.col(value) if isinstance(value, str) else value
+    hist = (df.where(v.isNotNull() & ~F.isnan(v))
+            .groupBy(*keys, v.cast("double").alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = reliable_checkpoint(hist.repartitionByRange(n_parts, *keys, "v")
+                                 .withColumn("pid", F.spark_partition_id()))
+    parts = ranged.groupBy(*keys, "pid").agg(F.sum("cnt").alias("part_n"),
+                                             F.min("v").alias("part_lo"))
+    in_group = Window.partitionBy(*keys)
+    parts = (parts
+             .withColumn("before", F.coalesce(F.sum("part_n").over(
+                 in_group.orderBy("part_lo").rowsBetween(Window.unboundedPreceding, -1)),
+                 F.lit(0)))
+             .withColumn("n", F.sum("part_n").over(in_group))
+             .select(*keys, "pid", "before", "n"))
+    in_part = Window.partitionBy(*keys, "pid").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    # parts has one row per (group, range partition): a size-bounded broadcast
+    ranked = (ranged.withColumn("cum_in", F.sum("cnt").over(in_part))
+              .join(F.broadcast(parts), [*keys, "pid"])
+              .withColumn("cum", F.col("before") + F.col("cum_in")))
+    pos = F.lit(p) * (F.col("n") - 1)
+    picked = ranked.groupBy(*keys).agg(
+        F.min(F.when(F.col("cum") > F.floor(pos), F.col("v"))).alias("v_lo"),
+        F.min(F.when(F.col("cum") > F.ceil(pos), F.col("v"))).alias("v_hi"),
+        F.first(pos - F.floor(pos)).alias("frac"))
+    return picked.select(*keys, (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
+                         .alias(name))
+
+
 def upper_bounds_exact(df: DataFrame, p: float = UPPER_QUANTILE,
                        keys: list[str] = KEYS) -> DataFrame:
-    """Exact p-quantile (linear interpolation, as ``percentile``) per landing month.
-
-    Works on a value histogram: rows are first pre-aggregated to
-    (month, value) -> count, so the per-month window only sorts the distinct
-    values, never the raw rows; sort and window spill to disk when large.
-    """
+    """Exact p-quantile of duration, amount and distance per landing month."""
     out = None
     for c, b in BOUNDED.items():
-        hist = (df.where(F.col(c).isNotNull() & ~F.isnan(F.col(c)))
-                .groupBy(*keys, F.col(c).cast("double").alias("v")).count())
-        w = Window.partitionBy(*keys).orderBy("v")
-        ranked = (hist
-                  .withColumn("cum", F.sum("count").over(
-                      w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                  .withColumn("n", F.sum("count").over(Window.partitionBy(*keys))))
-        pos = F.lit(p) * (F.col("n") - 1)
-        ranked = (ranked.withColumn("lo_rank", F.floor(pos))
-                  .withColumn("hi_rank", F.ceil(pos))
-                  .withColumn("frac", pos - F.floor(pos)))
-        part = ranked.groupBy(*keys).agg(
-            F.min(F.when(F.col("cum") > F.col("lo_rank"), F.col("v"))).alias("v_lo"),
-            F.min(F.when(F.col("cum") > F.col("hi_rank"), F.col("v"))).alias("v_hi"),
-            F.first("frac").alias("frac"),
-        ).select(*keys, (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias(b))
+        part = exact_quantile(df, c, p, keys, b)
         out = part if out is None else out.join(part, keys, "full")
     return out
 

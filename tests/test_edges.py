@@ -176,3 +176,19 @@ def test_lag_is_by_hours_not_rows(spark):
     from ridegrid.operators.features import lag_features
     got = {r.pickup_hour.hour: r.lag_1 for r in lag_features(_series(spark, rows)).collect()}
     assert got == {0: None, 1: 1, 3: None}
+
+
+def test_exact_quantile_matches_brute_force(spark):
+    import random
+    from ridegrid.operators.clean import exact_quantile
+    rnd = random.Random(3)
+    rows = [(g, float(rnd.randint(0, 500))) for g in (1, 2) for _ in range(3000)]
+    rows += [(1, 7.0)] * 1000 + [(2, float("nan"))] * 10 + [(2, None)] * 5  # a hot value, NaN, null
+    df = spark.createDataFrame(rows, "g int, x double")
+    for p in (0.0, 0.25, 0.5, 0.999, 1.0):
+        got = {r.g: r.q for r in exact_quantile(df, "x", p, ["g"], "q").collect()}
+        for g in (1, 2):
+            vals = sorted(x for gg, x in rows if gg == g and x is not None and x == x)
+            pos = p * (len(vals) - 1)
+            lo, hi = vals[int(math.floor(pos))], vals[int(math.ceil(pos))]
+            assert math.isclose(got[g], lo + (pos - math.floor(pos)) * (hi - lo)), (p, g)
