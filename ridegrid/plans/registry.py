@@ -247,18 +247,49 @@ def backfill_demand(spark, sf):
 
 
 _BSTATS = _bsql("""
-SELECT t.year, t.month, t.n AS total_records, coalesce(v.n, 0) AS valid_records
-FROM (SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,
-             CAST(month(tpep_pickup_datetime) AS INTEGER) AS month, count(*) AS n
-      FROM trips GROUP BY ALL) t
-LEFT JOIN (SELECT year, month, count(*) AS n FROM bclean GROUP BY ALL) v
-  ON t.year = v.year AND t.month = v.month""")
+SELECT year, month, count(*) AS total_records,
+       count(*) FILTER (WHERE stage IS NULL) AS valid_records,
+       count(*) FILTER (WHERE stage IS NOT NULL) AS records_dropped,
+       round(CAST(count(*) FILTER (WHERE stage IS NOT NULL) AS DOUBLE) * 100 / count(*), 2)
+         AS percent_dropped,
+       count(*) FILTER (WHERE stage = 'missing') AS dropped_missing,
+       count(*) FILTER (WHERE stage = 'date_range') AS dropped_date_range,
+       count(*) FILTER (WHERE stage = 'duration') AS dropped_duration,
+       count(*) FILTER (WHERE stage = 'total_amount') AS dropped_total_amount,
+       count(*) FILTER (WHERE stage = 'distance') AS dropped_distance,
+       count(*) FILTER (WHERE stage = 'location') AS dropped_location,
+       count(*) FILTER (WHERE stage = 'passenger_count') AS dropped_passenger_count
+FROM btagged GROUP BY year, month""")
+_BSTATS = _BSTATS.replace("\nSELECT year, month, count(*) AS total_records", """,
+btagged AS (
+SELECT t.year, t.month,
+  CASE WHEN tpep_pickup_datetime IS NULL OR tpep_dropoff_datetime IS NULL OR total_amount IS NULL
+            OR PULocationID IS NULL OR DOLocationID IS NULL OR trip_distance IS NULL
+            OR passenger_count IS NULL THEN 'missing'
+       WHEN NOT coalesce(tpep_pickup_datetime >= make_timestamp(t.year, t.month, 1, 0, 0, 0)
+                AND tpep_pickup_datetime < make_timestamp(t.year, t.month, 1, 0, 0, 0)
+                                           + INTERVAL 1 MONTH, false) THEN 'date_range'
+       WHEN NOT coalesce(duration > 0 AND duration <= q.max_duration, false) THEN 'duration'
+       WHEN NOT coalesce(total_amount >= 2.5 AND total_amount <= q.max_total_amount, false)
+            THEN 'total_amount'
+       WHEN NOT coalesce(trip_distance > 0 AND trip_distance <= q.max_distance, false)
+            THEN 'distance'
+       WHEN NOT coalesce(PULocationID NOT IN (1, 264, 265), false) THEN 'location'
+       WHEN NOT coalesce(passenger_count >= 1 AND passenger_count <= 5, false)
+            THEN 'passenger_count'
+  END AS stage
+FROM (SELECT *, CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,
+             CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
+             CAST(floor(epoch(tpep_dropoff_datetime)) AS BIGINT)
+             - CAST(floor(epoch(tpep_pickup_datetime)) AS BIGINT) AS duration
+      FROM trips) t
+LEFT JOIN bq q ON t.year = q.year AND t.month = q.month)
+SELECT year, month, count(*) AS total_records""", 1)
 
 
 @register("backfill_stats", _BSTATS)
 def backfill_stats(spark, sf):
-    keyed = C.assign_landing_month(_trips(spark, sf))
-    return C.clean_stats(keyed).select("year", "month", "total_records", "valid_records")
+    return C.clean_stats(C.assign_landing_month(_trips(spark, sf)))
 
 
 # ------------------------------------------------------------ scans and sinks (S, K, U1)
