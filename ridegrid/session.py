@@ -51,7 +51,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Eager checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def reliable_checkpoint(df: DataFrame, name: str = "lineage-cut") -> DataFrame:
+    """Materialize ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the table instead of recomputing
+    the plan) with ONE job; ``DataFrame.checkpoint(eager=True)`` runs a count job
+    and then a second job that re-runs the final stage (from its shuffle files)
+    to write the checkpoint.  Meant for small intermediate frames (bounds,
+    hourly counts, histograms).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
