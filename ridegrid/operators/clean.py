@@ -185,12 +185,17 @@ def exact_quantile(df: DataFrame, value: Column | str, p: float, keys: list[str]
 
 def upper_bounds_exact(df: DataFrame, p: float = UPPER_QUANTILE,
                        keys: list[str] = KEYS) -> DataFrame:
-    """Exact p-quantile of duration, amount and distance per landing month."""
-    out = None
-    for c, b in BOUNDED.items():
-        part = exact_quantile(df, c, p, keys, b)
-        out = part if out is None else out.join(part, keys, "full")
-    return out
+    """Exact p-quantile of duration, amount and distance per landing month.
+
+    The three columns are stacked into (metric, value) pairs so one scan and one
+    histogram serve all of them; the result is pivoted back to one row per month.
+    """
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(b).alias("metric"), F.col(c).cast("double").alias("x"))
+        for c, b in BOUNDED.items()])).alias("m")).select(*keys, "m.metric", "m.x")
+    q = exact_quantile(stacked, "x", p, [*keys, "metric"], "q")
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == b, F.col("q"))).alias(b)
+                                  for b in BOUNDED.values()])
 
 
 def _prepared(df: DataFrame, year: int | None, month: int | None) -> DataFrame:
