@@ -77,6 +77,9 @@ def read_predictions(spark: SparkSession, base: str, years: list[int] | None = N
     for k in PREDICTION_KEYS:
         if k not in df.columns:
             raise ValueError(f"prediction folder key {k!r} missing under {base}")
+    # A stray non-numeric folder makes partition inference type that key as
+    # string; cast back and drop such folders' rows (only digit-valued keys count).
+    df = df.withColumns({k: F.col(k).try_cast("int") for k in PREDICTION_KEYS})
     df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in PREDICTION_KEYS]))
     if years:
         df = df.where(F.col("year").isin(list(years)))

@@ -85,3 +85,19 @@ def test_run_month_stats_equal_one_pass_stats_and_empty_month(spark):
     # a month that never landed: empty layers, zero counts, null percentage
     empty = run_month(spark, raw, f"{out}/clean", f"{out}/demand", 2024, 5).first()
     assert empty.total_records == 0 and empty.percent_dropped is None
+
+
+def test_prediction_scan_skips_non_numeric_folders(spark):
+    import datetime as dt
+    base = scratch_path(spark, "pred-junk")
+    pred = spark.createDataFrame(
+        [(43, dt.datetime(2024, 1, 5, 3), 7), (74, dt.datetime(2023, 12, 31, 22), 2)],
+        "pickup_location_id int, prediction_datetime timestamp_ntz, predicted_rides int")
+    L.write_predictions(pred, base)
+    junk = base.replace("file:", "") + "/pickup_location_id=notes/year=2024/month=1/day=5/hour=3"
+    os.makedirs(junk)
+    with open(junk + "/prediction.csv", "w") as f:
+        f.write("prediction_datetime,predicted_rides\n2024-01-05 03:00:00,99\n")
+    got = L.read_predictions(spark, base, [2024]).collect()
+    assert [(r.pickup_location_id, r.year, r.hour, r.predicted_rides) for r in got] == [(43, 2024, 3, 7)]
+    assert dict(L.read_predictions(spark, base).dtypes)["pickup_location_id"] == "int"
