@@ -35,7 +35,6 @@ JAN_START, JAN_END = "2024-01-01 00:00:00", "2024-01-31 23:59:59"
 # Fixed anchor -> window 2024-01-13 10:00 .. 2024-01-20 11:00 (New York wall clock).
 WEEK_START, WEEK_END = "2024-01-13 10:00:00", "2024-01-20 11:00:00"
 FORECAST_SPLIT = "2024-01-24 00:00:00"
-PARAM_START, PARAM_END = "2024-01-08 00:00:00", "2024-01-21 23:00:00"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -438,7 +437,7 @@ def union_months(spark, sf):
 
 @register("param_query", sql("""
 SELECT pickup_hour, pickup_location_id, rides FROM demand
-WHERE pickup_hour BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-21 23:00:00'
+WHERE pickup_hour BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-31 23:59:59'
   AND rides >= 1""", "demand"))
 def param_query(spark, sf):
     return Q.run_query(
@@ -446,7 +445,7 @@ def param_query(spark, sf):
         "SELECT pickup_hour, pickup_location_id, rides FROM {demand} "
         "WHERE pickup_hour BETWEEN CAST(:start AS TIMESTAMP_NTZ) AND CAST(:end AS TIMESTAMP_NTZ) "
         "AND rides >= :min_rides ORDER BY pickup_hour",
-        args={"start": PARAM_START, "end": PARAM_END, "min_rides": 1},
+        args={"start": JAN_START, "end": JAN_END, "min_rides": 1},
         demand=fx.demand(spark, sf))
 
 
