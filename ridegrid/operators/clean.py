@@ -74,17 +74,39 @@ def in_month(c: Column | str, year: Column | int | str = "year",
     return (c >= month_start(y, m)) & (c < next_month_start(y, m))
 
 
-def duration_ok() -> Column:
-    return (F.col("duration") > 0) & (F.col("duration") <= F.col("max_duration"))
+def _at_most(c: str, bound: str, inert: bool) -> Column:
+    if inert:
+        # The bound is the maximum of the non-NaN values of the very rows being
+        # filtered, so ``c <= bound`` holds exactly for the non-NaN rows.
+        return ~F.isnan(F.col(c).cast("double"))
+    return F.col(c) <= F.col(bound)
 
 
-def amount_ok() -> Column:
+def duration_ok(inert: bool = False) -> Column:
+    return (F.col("duration") > 0) & _at_most("duration", "max_duration", inert)
+
+
+def amount_ok(inert: bool = False) -> Column:
     return ((F.col("total_amount") >= MIN_TOTAL_AMOUNT)
-            & (F.col("total_amount") <= F.col("max_total_amount")))
+            & _at_most("total_amount", "max_total_amount", inert))
+
+
+def distance_ok(inert: bool = False) -> Column:
+    return (F.col("trip_distance") > 0) & _at_most("trip_distance", "max_distance", inert)
+
 
+def bounds_are_inert(p: float = UPPER_QUANTILE, rel_err: float = QUANTILE_REL_ERR,
+                     exact: bool = False) -> bool:
+    """True when the quantile sketch would return the maximum (p >= 1 - rel_err).
 
-def distance_ok() -> Column:
-    return (F.col("trip_distance") > 0) & (F.col("trip_distance") <= F.col("max_distance"))
+    Then every upper bound equals the largest non-NaN value of the rows it
+    filters and the bound filters keep exactly the non-NaN rows: no bounds
+    pass is needed.  This is the original job's setting (p=0.999, rel_err=0.01).
+    """
+    if exact:
+        return p >= 1.0
+    accuracy = max(1, int(round(1.0 / rel_err)))
+    return p >= 1.0 - 1.0 / accuracy
 
 
 def location_ok() -> Column:
@@ -204,14 +226,16 @@ def _prepared(df: DataFrame, year: int | None, month: int | None) -> DataFrame:
     return with_duration(filter_in_month(filter_not_null(keyed), year, month))
 
 
-def _bounds(prepared: DataFrame, rel_err: float, exact: bool) -> DataFrame:
+def _bounds(prepared: DataFrame, rel_err: float, exact: bool,
+            p: float = UPPER_QUANTILE) -> DataFrame:
     if exact:
-        return upper_bounds_exact(prepared)
-    return upper_bounds(prepared, rel_err=rel_err)
+        return upper_bounds_exact(prepared, p=p)
+    return upper_bounds(prepared, p=p, rel_err=rel_err)
 
 
 def month_bounds(df: DataFrame, year: int | None = None, month: int | None = None,
-                 rel_err: float = QUANTILE_REL_ERR, exact: bool = False) -> DataFrame:
+                 rel_err: float = QUANTILE_REL_ERR, exact: bool = False,
+                 p: float = UPPER_QUANTILE) -> DataFrame:
     """Upper bounds per landing month, from the rows passing the null and month filters.
 
     Pass it to ``clean_trips`` / ``clean_stats`` / ``tag_stages`` (``bounds=``) to
@@ -220,20 +244,31 @@ def month_bounds(df: DataFrame, year: int | None = None, month: int | None = Non
     return _bounds(_prepared(df, year, month), rel_err, exact)
 
 
+def _all_ok(inert: bool = False) -> Column:
+    return (duration_ok(inert) & amount_ok(inert) & distance_ok(inert) & location_ok()
+            & passengers_ok())
+
+
 def clean_trips(df: DataFrame, year: int | None = None, month: int | None = None,
                 rel_err: float = QUANTILE_REL_ERR, exact: bool = False,
-                bounds: DataFrame | None = None) -> DataFrame:
+                bounds: DataFrame | None = None, p: float = UPPER_QUANTILE) -> DataFrame:
     """All filters of the monthly job; keeps raw columns plus ``duration`` and keys.
 
     Quantile bounds are computed once, on the rows that pass the null and month
     filters, before any range filter (as in the original job).  The bounds frame
-    has one row per landing month, so broadcasting it is size-safe.
+    has one row per landing month, so broadcasting it is size-safe.  At a setting
+    where the bounds are provably the maximum (``bounds_are_inert``) the filters
+    reduce to NaN checks and the trips are read once, with no bounds pass.
     """
     prepared = _prepared(df, year, month)
+    if bounds is None and bounds_are_inert(p, rel_err, exact):
+        # same column order as the join below (keys first)
+        return prepared.where(_all_ok(inert=True)).select(
+            *KEYS, *[c for c in prepared.columns if c not in KEYS])
     if bounds is None:
-        bounds = _bounds(prepared, rel_err, exact)
+        bounds = _bounds(prepared, rel_err, exact, p)
     return (prepared.join(F.broadcast(bounds), KEYS, "inner")
-            .where(duration_ok() & amount_ok() & distance_ok() & location_ok() & passengers_ok())
+            .where(_all_ok())
             .drop(*BOUNDED.values()))
 
 
@@ -255,28 +290,31 @@ def finalize_trips(df: DataFrame, keep_keys: bool = True) -> DataFrame:
     return df.select(*cols)
 
 
-def _first_failed_stage(df: DataFrame) -> Column:
+def _first_failed_stage(inert: bool = False) -> Column:
     """Name of the first filter a row fails; null filter results count as failure."""
     def fails(cond: Column) -> Column:
         return ~F.coalesce(cond, F.lit(False))
     return (F.when(fails(not_null_condition()), F.lit("missing"))
             .when(fails(in_month(RAW_PICKUP)), F.lit("date_range"))
-            .when(fails(duration_ok()), F.lit("duration"))
-            .when(fails(amount_ok()), F.lit("total_amount"))
-            .when(fails(distance_ok()), F.lit("distance"))
+            .when(fails(duration_ok(inert)), F.lit("duration"))
+            .when(fails(amount_ok(inert)), F.lit("total_amount"))
+            .when(fails(distance_ok(inert)), F.lit("distance"))
             .when(fails(location_ok()), F.lit("location"))
             .when(fails(passengers_ok()), F.lit("passenger_count")))
 
 
 def tag_stages(df: DataFrame, year: int | None = None, month: int | None = None,
                rel_err: float = QUANTILE_REL_ERR, exact: bool = False,
-               bounds: DataFrame | None = None) -> DataFrame:
+               bounds: DataFrame | None = None, p: float = UPPER_QUANTILE) -> DataFrame:
     """Every row with ``duration`` and ``stage``: the first filter it fails (null = kept)."""
     keyed = with_landing_month(df, year, month)
+    if bounds is None and bounds_are_inert(p, rel_err, exact):
+        tagged = with_duration(keyed).withColumn("stage", _first_failed_stage(inert=True))
+        return tagged.select(*KEYS, *[c for c in tagged.columns if c not in KEYS])
     if bounds is None:
-        bounds = _bounds(_prepared(df, year, month), rel_err, exact)
+        bounds = _bounds(_prepared(df, year, month), rel_err, exact, p)
     return (with_duration(keyed).join(F.broadcast(bounds), KEYS, "left")
-            .withColumn("stage", _first_failed_stage(keyed))
+            .withColumn("stage", _first_failed_stage())
             .drop(*BOUNDED.values()))
 
 
@@ -289,7 +327,7 @@ def stage_counts():
 
 def clean_stats(df: DataFrame, year: int | None = None, month: int | None = None,
                 rel_err: float = QUANTILE_REL_ERR, exact: bool = False,
-                bounds: DataFrame | None = None) -> DataFrame:
+                bounds: DataFrame | None = None, p: float = UPPER_QUANTILE) -> DataFrame:
     """Drop waterfall per landing month in one pass (plus the quantile pass).
 
     Each row is tagged with the first stage it fails, then one aggregation
@@ -297,7 +335,7 @@ def clean_stats(df: DataFrame, year: int | None = None, month: int | None = None
     percent_dropped (2 decimals, null for an empty month) and one
     ``dropped_<stage>`` column per stage.
     """
-    tagged = tag_stages(df, year, month, rel_err, exact, bounds).select(*KEYS, "stage")
+    tagged = tag_stages(df, year, month, rel_err, exact, bounds, p).select(*KEYS, "stage")
     single = year is not None and month is not None
     stats = tagged.agg(*stage_counts()) if single else tagged.groupBy(*KEYS).agg(*stage_counts())
     return finish_stats(stats, year, month)

@@ -1,9 +1,10 @@
 """The monthly job and its many-month form, as Spark jobs over the lake.
 
-Per month: quantile bounds (pass 1 over raw, one row per month, checkpointed)
--> tag each row with the first filter it fails, count the tags with an
-``Observation`` while the kept rows are written to the cleaned layer (pass 2:
-the drop waterfall costs no extra pass) -> read the cleaned layer back (lineage
+Per month: quantile bounds (one row per month, written once) -> tag each row
+with the first filter it fails, count the tags with an ``Observation`` while the
+kept rows are written to the cleaned layer (the drop waterfall costs no extra
+pass).  At the original setting the bounds are provably the maximum and reduce
+to NaN checks, so the raw month is read exactly once -> read the cleaned layer back (lineage
 cut, two columns) -> hourly counts (checkpointed, small) -> gap-filled grid ->
 write the demand layer.
 """
@@ -12,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import (KEYS, STAGES, clean_stats, clean_trips, finalize_trips,
-                               finish_stats, month_bounds, stage_counts, tag_stages)
+from ..operators.clean import (KEYS, STAGES, bounds_are_inert, clean_stats, clean_trips,
+                               finalize_trips, finish_stats, month_bounds, stage_counts,
+                               tag_stages)
 from ..operators.series import hourly_demand
 from ..session import reliable_checkpoint
 from ..sources.lake import read_trips, write_clean_trips, write_demand
@@ -41,9 +43,11 @@ def run_month(spark: SparkSession, raw_base: str, clean_base: str, demand_base:
               stats_base: str | None = None) -> DataFrame:
     """Clean one landed month and write both layers; returns the drop statistics."""
     raw = read_trips(spark, raw_base, year, month)
-    bounds = reliable_checkpoint(month_bounds(raw, year, month, rel_err=rel_err))
+    bounds = None if bounds_are_inert(rel_err=rel_err) else \
+        reliable_checkpoint(month_bounds(raw, year, month, rel_err=rel_err))
     observation = Observation(f"drop_waterfall_{year}_{month:02d}")
-    tagged = tag_stages(raw, year, month, bounds=bounds).observe(observation, *stage_counts())
+    tagged = tag_stages(raw, year, month, rel_err=rel_err, bounds=bounds).observe(
+        observation, *stage_counts())
     write_clean_trips(finalize_trips(tagged.where(F.col("stage").isNull())), clean_base)
     counts = observation.get  # filled by the write above: no extra pass over raw
     row = {"year": year, "month": month, **{k: int(v) for k, v in counts.items()}}
@@ -66,12 +70,13 @@ def run_backfill(spark: SparkSession, raw_base: str, clean_base: str, demand_bas
     raw = spark.read.parquet(raw_base)
     if months:
         raw = raw.where(_months_filter(months))
-    bounds = reliable_checkpoint(month_bounds(raw, rel_err=rel_err))
-    stats = clean_stats(raw, bounds=bounds)
+    bounds = None if bounds_are_inert(rel_err=rel_err) else \
+        reliable_checkpoint(month_bounds(raw, rel_err=rel_err))
+    stats = clean_stats(raw, rel_err=rel_err, bounds=bounds)
     if stats_base:
         _write_stats(stats, stats_base)
         stats = spark.read.parquet(stats_base)
-    write_clean_trips(finalize_trips(clean_trips(raw, bounds=bounds)), clean_base)
+    write_clean_trips(finalize_trips(clean_trips(raw, rel_err=rel_err, bounds=bounds)), clean_base)
     cleaned = spark.read.parquet(clean_base)
     if months:
         cleaned = cleaned.where(_months_filter(months))

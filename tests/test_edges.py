@@ -192,3 +192,19 @@ def test_exact_quantile_matches_brute_force(spark):
             pos = p * (len(vals) - 1)
             lo, hi = vals[int(math.floor(pos))], vals[int(math.ceil(pos))]
             assert math.isclose(got[g], lo + (pos - math.floor(pos)) * (hi - lo)), (p, g)
+
+
+def test_inert_bounds_equal_the_general_path(spark):
+    """At p=0.999, rel_err=0.01 the NaN-check path keeps exactly what the bounds keep."""
+    rows = [trip(dist=float("nan")), trip(amount=float("nan")), trip(seconds=5000),
+            trip(amount=400.0), trip(dist=30.0), trip(), trip(pax=3.0, dist=0.5)]
+    df = frame(spark, rows)
+    assert C.bounds_are_inert() and not C.bounds_are_inert(p=0.5)
+    fast = C.clean_trips(df, 2024, 1)
+    general = C.clean_trips(df, 2024, 1, bounds=C.month_bounds(df, 2024, 1))
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, fast.collect())) == sorted(map(key, general.collect()))
+    assert fast.count() == 5
+    s_fast = C.clean_stats(df, 2024, 1).first().asDict()
+    s_gen = C.clean_stats(df, 2024, 1, bounds=C.month_bounds(df, 2024, 1)).first().asDict()
+    assert s_fast == s_gen

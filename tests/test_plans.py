@@ -59,8 +59,14 @@ def test_no_python_and_no_cartesian(spark, name):
 
 
 def test_quantile_bounds_are_a_broadcast_of_one_row_per_month(spark):
+    p = plan(C.clean_trips(fx.trips(spark, SF001), 2024, 1, p=0.99, rel_err=0.001))
+    assert "BroadcastExchange" in p and "percentile_approx" in p
+
+
+def test_parity_clean_reads_trips_once(spark):
     p = plan(C.clean_trips(fx.trips(spark, SF001), 2024, 1))
-    assert "BroadcastExchange" in p and "max(" in p
+    assert p.count("FileScan parquet") == 1
+    assert "Exchange" not in p and "isnan" in p
 
 
 def test_week_window_prunes_months_and_pushes_hours(spark):
