@@ -57,11 +57,13 @@ def hour_location_grid(series: DataFrame, keys: list[str] | None = None,
     keys = _keys(series, keys)
     bounds = hour_bounds(series, keys, hour_col).drop("n_hours")
     locs = distinct_locations(series, keys, loc_col)
-    # bounds has one row per key (month): a size-bounded broadcast.
     if keys:
+        # bounds has one row per key (month): a size-bounded broadcast.
         cells = locs.join(F.broadcast(bounds), keys, "inner")
     else:
-        cells = locs.crossJoin(F.broadcast(bounds))
+        # one global span: attach it as scalar subqueries (evaluated once)
+        cells = locs.select(loc_col, bounds.select("first_hour").scalar().alias("first_hour"),
+                            bounds.select("last_hour").scalar().alias("last_hour"))
     return cells.select(*keys, F.explode(hour_sequence("first_hour", "last_hour")).alias(hour_col),
                         loc_col)
 
