@@ -13,9 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import (KEYS, STAGES, bounds_are_inert, clean_stats, clean_trips,
-                               finalize_trips, finish_stats, month_bounds, stage_counts,
-                               tag_stages)
+from ..operators.clean import (KEYS, STAGES, bounds_are_inert, finalize_trips, finish_stats,
+                               month_bounds, stage_counts, tag_stages)
 from ..operators.series import hourly_demand
 from ..session import reliable_checkpoint
 from ..sources.lake import read_trips, write_clean_trips, write_demand
@@ -59,24 +58,51 @@ def run_month(spark: SparkSession, raw_base: str, clean_base: str, demand_base:
     return stats
 
 
+def _observed_counts(months: list[tuple[int, int]]):
+    """count_if per (month, outcome): a fixed, bounded set of aggregates for ``observe``."""
+    outcomes = {"valid_records": F.col("stage").isNull(), "total_records": F.lit(True)}
+    outcomes.update({f"dropped_{st}": F.col("stage") == st for st in STAGES})
+    aggs = []
+    for y, m in months:
+        in_month = (F.col("year") == y) & (F.col("month") == m)
+        aggs += [F.count_if(in_month & cond).alias(f"{y}_{m}_{name}")
+                 for name, cond in outcomes.items()]
+    return aggs
+
+
 def run_backfill(spark: SparkSession, raw_base: str, clean_base: str, demand_base: str,
                  months: list[tuple[int, int]] | None = None, rel_err: float = 0.01,
                  stats_base: str | None = None) -> DataFrame:
     """All (or the listed) landed months in one job, each with its own bounds and grid.
 
-    Bounds are computed once for all months (one row per month, checkpointed)
-    and shared by the statistics and the cleaning pass.
+    The raw lake is read once: rows are tagged with the first filter they fail,
+    the per-month waterfall is counted by an ``Observation`` (one ``count_if``
+    per month and outcome; the month list is the request or the landed
+    partitions, a metadata-sized list) while the kept rows are written.  Bounds,
+    when not inert, are computed once for all months (one row per month).
     """
     raw = spark.read.parquet(raw_base)
     if months:
         raw = raw.where(_months_filter(months))
+        month_list = sorted(set(months))
+    else:
+        month_list = sorted((r["year"], r["month"]) for r in
+                            raw.select(*KEYS).distinct().collect()
+                            if r["year"] is not None and r["month"] is not None)
     bounds = None if bounds_are_inert(rel_err=rel_err) else \
         reliable_checkpoint(month_bounds(raw, rel_err=rel_err))
-    stats = clean_stats(raw, rel_err=rel_err, bounds=bounds)
-    if stats_base:
-        _write_stats(stats, stats_base)
-        stats = spark.read.parquet(stats_base)
-    write_clean_trips(finalize_trips(clean_trips(raw, rel_err=rel_err, bounds=bounds)), clean_base)
+    observation = Observation("drop_waterfall_backfill")
+    tagged = tag_stages(raw, rel_err=rel_err, bounds=bounds).observe(
+        observation, *_observed_counts(month_list)) if month_list else \
+        tag_stages(raw, rel_err=rel_err, bounds=bounds)
+    write_clean_trips(finalize_trips(tagged.where(F.col("stage").isNull())), clean_base)
+    got = observation.get if month_list else {}
+    rows = [{"year": y, "month": m,
+             **{f: int(got[f"{y}_{m}_{f}"]) for f in
+                ["total_records", "valid_records", *[f"dropped_{st}" for st in STAGES]]}}
+            for y, m in month_list]
+    stats = finish_stats(spark.createDataFrame(rows, STATS_SCHEMA))
+    _write_stats(stats, stats_base)
     cleaned = spark.read.parquet(clean_base)
     if months:
         cleaned = cleaned.where(_months_filter(months))

@@ -38,12 +38,14 @@ def test_run_backfill_equals_backfill_operator(spark):
     raw = scratch_path(spark, "bf-raw")
     L.write_partitioned(C.assign_landing_month(fx.trips(spark, SF001)), raw)
     out = scratch_path(spark, "bf-out")
-    run_backfill(spark, raw, f"{out}/clean", f"{out}/demand")
+    stats = run_backfill(spark, raw, f"{out}/clean", f"{out}/demand")
     got = spark.read.parquet(f"{out}/demand").select(
         "year", "month", "pickup_hour", F.col("pickup_location_id").cast("int"),
         F.col("rides").cast("int"))
     before = rows(got)
     assert before == rows(S.backfill(fx.trips(spark, SF001)))
+    # the observed per-month waterfall equals the grouped one-pass statistics
+    assert rows(stats) == rows(C.clean_stats(spark.read.parquet(raw)))
     # rebuilding one month replaces only that month
     run_backfill(spark, raw, f"{out}/clean", f"{out}/demand", months=[(2023, 12)])
     again = spark.read.parquet(f"{out}/demand").select(
