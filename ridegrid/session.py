@@ -41,8 +41,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:  # no cluster setting: local runs and tests only
+    elif sc.master.startswith("local"):  # no setting: local runs and tests only
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ridegrid-ckpt-"))
+    else:
+        # A driver-local folder is invisible to executors on a cluster.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                           "object store) for intermediate tables")
     return sc.getCheckpointDir()
 
 
