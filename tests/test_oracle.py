@@ -4,9 +4,9 @@ import pytest
 import __spark_entry__ as E
 from compare import compare, duck
 from conftest import SF01
+from ridegrid.plans.registry import ORACLE, QUERIES
 
-ORACLE = E.oracle_sql()
-NAMES = list(E.queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def con():
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n in ORACLE])
 def test_matches_oracle(spark, con, name):
-    ok, msg = compare(E.queries()[name](spark, SF01), con, ORACLE[name])
+    ok, msg = compare(QUERIES[name](spark, SF01), con, ORACLE[name])
     assert ok, msg
 
 
