@@ -79,7 +79,8 @@ OTHER = "6543210987654321"
 def _occurrences(window: int, seed: int, full: bool):
     """Rows of anchors: the hash alone, or with extension, row and place."""
     schema = pa.schema([("anchor", pa.int64())] + ([
-        ("ext", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("n", pa.int32())] if full else []))
+        ("ext", pa.int64()), ("k", pa.int64()), ("h", pa.int64()), ("first", pa.int32()), ("n", pa.int32())]
+        if full else []))
 
     def run(batches):
         for batch in C.text_slices(batches, "text"):
@@ -92,7 +93,8 @@ def _occurrences(window: int, seed: int, full: bool):
             ext = _span_hashes(w.hashes(OTHER), a, b + window) ^ C.mix((at - a).astype(np.uint64) + C.ODD)
             doc = w.doc()[a] if len(a) else a
             yield C.rows(schema, anchor.view(np.int64), ext.view(np.int64),
-                         batch.column("row").to_numpy()[doc], (a - w.offsets[doc]).astype(np.int32),
+                         batch.column("k").to_numpy()[doc], batch.column("h").to_numpy()[doc],
+                         (a - w.offsets[doc]).astype(np.int32),
                          (b - a + 1).astype(np.int32))
 
     return run
@@ -100,7 +102,8 @@ def _occurrences(window: int, seed: int, full: bool):
 
 def _windows(window: int):
     """The windows of a text that start in its ``spans``, by two hashes."""
-    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("row", pa.int64()), ("start", pa.int32())])
+    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("k", pa.int64()), ("h", pa.int64()),
+                        ("first", pa.int32())])
 
     def run(batches):
         for batch in C.text_slices(batches, "text"):
@@ -113,8 +116,8 @@ def _windows(window: int):
             at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
             doc = np.concatenate(docs) if docs else at
             one, two = (_span_hashes(w.hashes(seed), at, at + window) for seed in ("0123456789123456", OTHER))
-            yield C.rows(schema, one.view(np.int64), two.view(np.int64), batch.column("row").to_numpy()[doc],
-                         (at - w.offsets[doc]).astype(np.int32))
+            yield C.rows(schema, one.view(np.int64), two.view(np.int64), batch.column("k").to_numpy()[doc],
+                         batch.column("h").to_numpy()[doc], (at - w.offsets[doc]).astype(np.int32))
 
     return run
 
@@ -138,9 +141,9 @@ def _cut(window: int):
                 s, e = C.runs(gone[a:b])
                 spans.append([{"start": x, "end": y} for x, y in zip(s.tolist(), e.tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(w.counts, pa.int64()), pa.array(kept, pa.string()),
+                [batch.column("k"), batch.column("m"), pa.array(w.counts, pa.int64()), pa.array(kept, pa.string()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                names=["row", "n_words", "kept_text", "repeats"])
+                names=["k", "m", "n_words", "kept_text", "repeats"])
 
     return run
 
@@ -150,42 +153,38 @@ def drop_repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """doc_id, n_words, n_removed, kept_text and the maximal ``repeats`` (word spans) of every row."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("_k"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # distinct texts, each under its smallest id; written once, numbered in the order of the ids
-    texts = base.groupBy("text").agg(F.min("_k").alias("_k"))
-    texts = reliable_checkpoint(texts.select("_k", F.xxhash64("text").alias("_h"),
-                                             F.md5("text").alias("_m"), "text",
-                                             F.monotonically_increasing_id().alias("row")), "passages")
-    own = texts.select("row", "text")
-    order = texts.select("row", "_k", "_h")
-
-    anchors = C.map_arrow(own, _occurrences(window, seed, False), "anchor long")
+    # distinct texts, each under its smallest id; written once.  (k, h) names and orders them
+    texts = base.groupBy("text").agg(F.min("_k").alias("k"))
+    texts = reliable_checkpoint(texts.select("k", F.xxhash64("text").alias("h"), "text"), "passages")
+
+    anchors = C.map_arrow(texts.select("text"), _occurrences(window, seed, False), "anchor long")
     again = anchors.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
-    found = C.map_arrow(own, _occurrences(window, seed, True), "anchor long, ext long, row long, first int, n int")
-    found = found.join(again, "anchor").join(order, "row").select(
-        "anchor", "ext", F.struct("_k", "_h", "first").alias("at"), "row", "first", "n")
-    found = reliable_checkpoint(found, "anchors")
-    classes = found.groupBy("anchor", "ext").agg(F.min("at").alias("earliest"))
-    classes = reliable_checkpoint(classes, "anchor-classes")
+    found = C.map_arrow(texts, _occurrences(window, seed, True),
+                        "anchor long, ext long, k long, h long, first int, n int")
+    found = reliable_checkpoint(found.join(again, "anchor"), "anchors")
+    place = F.struct("k", "h", "first")
+    classes = reliable_checkpoint(found.groupBy("anchor", "ext").agg(F.min(place).alias("earliest")), "anchor-classes")
     # an anchor with one class is settled; among several, their earliest members are compared
     mixed = classes.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select(
         "anchor", F.lit(True).alias("mixed"))
-    settled = found.join(classes, ["anchor", "ext"])
-    whole = settled.where("at <> earliest").select("row", "first", "n")
-    part = settled.where("at = earliest").join(mixed, "anchor").select("row", "first", "n")
+    later = found.join(classes, ["anchor", "ext"]).where(place != F.col("earliest")).select("k", "h", "first", "n")
+    later = reliable_checkpoint(later, "later-anchors")
+    size = found.groupBy("anchor", "ext").agg(F.min(F.struct("k", "h", "first", "n")).alias("at"))
+    part = size.join(mixed, "anchor").select("at.k", "at.h", "at.first", "at.n")
     spans = F.collect_list(F.struct("first", "n")).alias("spans")
-    part = own.join(part.groupBy("row").agg(spans), "row")
-    windows = C.map_arrow(part, _windows(window), "w1 long, w2 long, row long, start int")
-    windows = windows.join(order, "row").select("w1", "w2", F.struct("_k", "_h", "start").alias("at"), "row", "start")
+    windows = C.map_arrow(texts.join(part.groupBy("k", "h").agg(spans), ["k", "h"]), _windows(window),
+                          "w1 long, w2 long, k long, h long, first int")
     windows = reliable_checkpoint(windows, "windows")
-    earliest = windows.groupBy("w1", "w2").agg(F.min("at").alias("earliest"), F.count("*").alias("c")).where("c > 1")
-    later = windows.join(earliest, ["w1", "w2"]).where("at <> earliest").select(
-        "row", F.col("start").alias("first"), F.lit(1).alias("n"))
-    gone = whole.unionByName(later).groupBy("row").agg(spans)
-    cut = C.map_arrow(own.join(gone, "row", "left").select("row", "text", "spans"), _cut(window),
-                      "row long, n_words long, kept_text string, repeats array<struct<start:bigint,end:bigint>>")
-    cut = cut.join(texts.select("row", "_m", "_k"), "row").drop("row")
+    earliest = windows.groupBy("w1", "w2").agg(F.min(place).alias("earliest"), F.count("*").alias("c")).where("c > 1")
+    single = windows.join(earliest, ["w1", "w2"]).where(place != F.col("earliest")).select(
+        "k", "h", "first", F.lit(1).alias("n"))
+    gone = later.unionByName(single).groupBy("k", "h").agg(spans)
+    cut = C.map_arrow(texts.join(gone, ["k", "h"], "left").select("k", F.md5("text").alias("m"), "text", "spans"), _cut(window),
+                      "k long, m string, n_words long, kept_text string, "
+                      "repeats array<struct<start:bigint,end:bigint>>")
+    cut = cut.select(F.col("k").alias("_first"), F.col("m").alias("_m"), "n_words", "kept_text", "repeats")
     # a text equal to an earlier one is a repeat from end to end, if it has a window at all
-    out = base.select("doc_id", "_k", F.md5("text").alias("_m")).join(cut.withColumnRenamed("_k", "_first"), "_m")
+    out = base.select("doc_id", "_k", F.md5("text").alias("_m")).join(cut, "_m")
     copy = (F.col("_k") > F.col("_first")) & (F.col("n_words") >= window)
     removed = F.aggregate("repeats", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     every = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
