@@ -23,62 +23,87 @@ from ridegrid.llm import common as C
 from ridegrid.session import reliable_checkpoint
 
 LOWEST = -(1 << 63)
-TIE_BITS = 63
+#: Probes inside the one first interval, and inside each splitter's interval afterwards.
+FIRST_PROBES, PROBES = 4096, 64
 
+Key = tuple[int, int]  # (id, tie), in the order of rows
 
-def _split_key(key: int) -> tuple[int, int]:
-    return (key >> TIE_BITS) + LOWEST, key & ((1 << TIE_BITS) - 1)
 
+def _lit(x: int) -> str:
+    return f"({x + 1}L - 1L)" if x == LOWEST else f"{x}L"
 
-def _join_key(first: int, tie: int) -> int:
-    return ((first - LOWEST) << TIE_BITS) | tie
 
+def _place_among(bounds: list[Key]) -> str:
+    """SQL for the number of ``bounds`` (sorted) at or below a row's key, by halving."""
+    def part(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        k, tie = bounds[mid]
+        above = f"_k > {_lit(k)} or (_k = {_lit(k)} and _tie >= {_lit(tie)})"
+        return f"case when {above} then {part(mid + 1, hi)} else {part(lo, mid)} end"
 
-def _range_of(keys: list[int]):
-    """Number of boundaries at or below a row's key (columns ``_k``, ``_tie``), by halving."""
-    if not keys:
-        return F.lit(0)
-    pairs = [_split_key(k) for k in keys]
-    bounds = F.array(*[F.struct(F.lit(a).cast("long").alias("_k"), F.lit(b).cast("long").alias("_tie"))
-                       for a, b in pairs])
-    row = F.struct(F.col("_k"), F.col("_tie"))
-    return F.size(F.filter(bounds, lambda b: b <= row))
+    return part(0, len(bounds))
 
 
-def find_splitters(rows: DataFrame, parts: int, tolerance: float, probes: int = 15) -> list[int]:
-    """``parts - 1`` keys with nearly equal ``_w`` between them.  ``rows``: _k, _tie, _w."""
+def _step(lo: Key, hi: Key, probes: int) -> tuple[bool, int, int]:
+    """(whether the interval divides ties of one id, its first coordinate, the probes' distance)."""
+    by_tie = hi[0] == lo[0] or hi == (lo[0] + 1, 0)
+    first, end = (lo[1], hi[1] if hi[0] == lo[0] else 1 << 62) if by_tie else (lo[0], hi[0] + (hi[1] > 0))
+    return by_tie, first, max(1, -(-(end - first) // probes))
+
+
+def _count(rows: DataFrame, spans: list[tuple[Key, Key]], probes: int) -> dict[int, list[tuple[Key, int, int]]]:
+    """Of each span, sorted and apart from each other: the weight and rows from each probe to the next."""
+    edges = [x for span in spans for x in span]  # place 2i + 1 is inside span i
+    steps = [_step(lo, hi, probes) for lo, hi in spans]
+    inside = rows.withColumn("_at", F.expr(_place_among(edges))).where("_at % 2 = 1").withColumn(
+        "_i", F.expr("cast((_at - 1) / 2 as int)"))
+    flag, first, step = (f"array({', '.join(x)})[_i]" for x in (
+        [str(t).lower() for t, _, _ in steps], [_lit(f) for _, f, _ in steps], [_lit(d) for _, _, d in steps]))
+    sub = f"(case when {flag} then _tie else _k end - {first}) div {step}"
+    got = inside.groupBy("_i", F.expr(sub).alias("_sub")).agg(F.sum("_w").alias("w"), F.count("*").alias("n")).collect()
+    out: dict[int, list[tuple[Key, int, int]]] = {i: [] for i in range(len(spans))}
+    for r in sorted(got, key=lambda r: (r["_i"], r["_sub"])):  # at most ``probes`` rows per span
+        by_tie, start, wide = steps[r["_i"]]
+        x = start + r["_sub"] * wide
+        key = (spans[r["_i"]][0][0], x) if by_tie else (x, 0)
+        out[r["_i"]].append((max(key, spans[r["_i"]][0]), r["w"], r["n"]))
+    return out
+
+
+def find_splitters(rows: DataFrame, parts: int, tolerance: float) -> list[Key]:
+    """``parts - 1`` keys with nearly equal ``_w`` between them.  ``rows``: _k, _tie, _w.
+
+    Keys of ids run over less than 2^62 values between the smallest and the largest.
+    """
     lo_k, hi_k, total, count = rows.agg(F.min("_k"), F.max("_k"), F.sum("_w"), F.count("*")).first()
     if not total:
         return []
     goals = [total * (i + 1) / parts for i in range(parts - 1)]
     slack = tolerance * total / parts
-    # of each splitter: a key bound, the exact weight and rows below it; the same for the upper bound
-    ends = ((_join_key(lo_k, 0), 0, 0), (_join_key(hi_k, (1 << TIE_BITS) - 1) + 1, total, count))
-    state = [ends for _ in goals]
-    done: list[int | None] = [None] * len(goals)
+    # of each splitter: (key, weight below it, rows below it) of a lower and of an upper bound
+    state = [(((lo_k, 0), 0, 0), ((hi_k + 1, 0), total, count)) for _ in goals]
+    done: list[Key | None] = [None] * len(goals)
+    probes = FIRST_PROBES
     while None in done:
-        wanted: set[int] = set()
-        for (low, high), key in zip(state, done, strict=True):
-            if key is None:
-                wide = high[0] - low[0]
-                wanted |= {low[0] + wide * (i + 1) // (probes + 1) for i in range(probes)} - {low[0]}
-        keys = sorted(wanted)
-        got = {r["_bin"]: r for r in rows.groupBy(_range_of(keys).alias("_bin"))
-               .agg(F.sum("_w").alias("w"), F.count("*").alias("n")).collect()}  # a row per probe at most
-        below, weight, n = [], 0, 0
-        for i, key in enumerate(keys):
-            weight += got[i]["w"] if i in got else 0
-            n += got[i]["n"] if i in got else 0
-            below.append((key, weight, n))
+        spans = sorted({(lo[0], hi[0]) for (lo, hi), key in zip(state, done, strict=True) if key is None})
+        cells = _count(rows, spans, probes)
+        probes = PROBES
         for i, goal in enumerate(goals):
             if done[i] is not None:
                 continue
             low, high = state[i]
-            low = max([low, *(x for x in below if low[0] < x[0] < high[0] and x[1] <= goal)])
-            high = min([high, *(x for x in below if low[0] < x[0] < high[0] and x[1] > goal)])
+            weight, n = low[1:]
+            found = []
+            for key, w, c in cells[spans.index((low[0], high[0]))]:
+                found.append((key, weight, n))
+                weight, n = weight + w, n + c
+            low = max([low, *(x for x in found if x[1] <= goal)])
+            high = min([high, *(x for x in found if x[1] > goal)])
             state[i] = (low, high)
             near = min(low, high, key=lambda x: abs(goal - x[1]))
-            if abs(goal - near[1]) <= slack or high[2] - low[2] <= 1 or high[0] - low[0] <= 1:
+            if abs(goal - near[1]) <= slack or high[2] - low[2] <= 1:
                 done[i] = near[0]
     return sorted(done)
 
@@ -101,7 +126,7 @@ def histogram_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: st
     light = reliable_checkpoint(light, "shard-rows")
     parts = shards * ranges_per_shard
     splitters = find_splitters(light, parts, tolerance)
-    ranged = light.withColumn("_range", _range_of(splitters))
+    ranged = light.withColumn("_range", F.expr(_place_among(splitters)))
     sizes = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect()}
     # splitter i starts range i + 1, and range r belongs to shard r // ranges_per_shard
     starts, seen = [], {}
@@ -109,7 +134,7 @@ def histogram_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: st
         s = min(r // ranges_per_shard, shards - 1)
         starts.append(seen.get(s, 0))
         seen[s] = seen.get(s, 0) + sizes.get(r, 0)
-    first = F.array(*[F.lit(x).cast("long") for x in starts])
+    first = F.expr(f"array({', '.join(_lit(x) for x in starts)})")
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_k", "_tie"))  # the one exchange
     return ranged.withColumn("_place", place).select(
         F.col("_id").alias(key), *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)],
