@@ -36,7 +36,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Scores are whole numbers of this fraction, so that sums are exact and ties are real ties.
 UNIT = 1_000_000
-#: Distinct words that a worker remembers; then it starts anew.
+#: Distinct words that a worker remembers; the others are searched each time.
 REMEMBERED = 200_000
 
 
@@ -68,11 +68,39 @@ class Pieces:
                 score = -math.log(n)
             self.score[piece.replace(SPACE, " ")] = (round(score * UNIT), i)
         self.longest = max(map(len, self.score))
+        self.starts = {p[:i] for p in self.score for i in range(1, len(p) + 1)}
         self.byte_score = round(-2.0 * math.log(n) * UNIT)
         crossing = [p for p in self.score if re.search(r"[^ ] |\n", p) and len(p) > 1]
         if crossing:
             raise ValueError(f"pieces run from words into white space: {crossing[:3]}")
 
+    def whole(self, text: str) -> list[int]:
+        """The same search for a text that fits into one window, so that its end is the one commit."""
+        table, starts, n = self.score, self.starts, len(text)
+        best: list = [None] * (n + 1)
+        best[0] = (0, 0, ())
+        for start in range(n):
+            base = best[start][0]
+            end, piece = start + 1, text[start]
+            if piece not in table:
+                raw = piece.encode()
+                score = base + self.byte_score * len(raw)
+                if best[end] is None or score > best[end][0]:
+                    best[end] = (score, start, tuple([self.byte_ids[b] for b in raw]))
+            while piece in starts:
+                got = table.get(piece)
+                if got is not None and (best[end] is None or base + got[0] > best[end][0]):
+                    best[end] = (base + got[0], start, (got[1],))
+                end += 1
+                if end > n:
+                    break
+                piece = text[start:end]
+        path, end = [], n
+        while end:
+            _, end, ids = best[end]
+            path.append(ids)
+        return list(chain.from_iterable(reversed(path)))
+
     def viterbi(self, text: str, committed=None) -> list[int]:
         """Ids of a text in which U+2581 is an ordinary character and a space is a space."""
         out: list[int] = []
@@ -126,10 +154,8 @@ class Words(dict):
         self.pieces = pieces
 
     def __missing__(self, word: str):
-        ids = self.pieces.viterbi(word)
-        if len(word) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
+        ids = self.pieces.whole(word) if len(word) <= self.pieces.longest else self.pieces.viterbi(word)
+        if len(self) < REMEMBERED and len(word) <= 64:
             self[word] = ids
         return ids
 
