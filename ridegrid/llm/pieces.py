@@ -107,7 +107,7 @@ class Pieces:
         longest, table, low = self.longest, self.score, self.byte_score
         best = {0: 0}  # boundary -> score, for the last `longest` boundaries
         back: dict[int, tuple[int, tuple[int, ...]]] = {}  # boundary -> (boundary before, ids)
-        base = 0  # all before it is committed
+        base, look = 0, longest  # all before base is committed; look for a meeting place at look
         for end in range(1, len(text) + 1):
             top, link = -math.inf, None
             for start in range(max(base, end - longest), end):
@@ -122,7 +122,8 @@ class Pieces:
                     top, link = score, (end - 1, tuple(self.byte_ids[b] for b in raw))
             best[end], back[end] = top, link
             best.pop(end - longest - 1, None)
-            if end % longest == 0 or end == len(text):  # do all surviving paths meet?
+            if end >= look or end == len(text):  # do all surviving paths meet?
+                look = end + max(longest, end - base)
                 alive = {e for e in best if e > base} if end < len(text) else {end}
                 low_at = min(best) if end < len(text) else end
                 if low_at > base or end == len(text):
@@ -140,7 +141,7 @@ class Pieces:
                         out.extend(chain.from_iterable(reversed(path)))
                         for e in range(base + 1, at + 1):
                             back.pop(e, None)
-                        base = at
+                        base, look = at, end + longest
                         if committed is not None:
                             committed.append(at)
         return out

@@ -53,30 +53,30 @@ def _step(lo: Key, hi: Key, probes: int) -> tuple[bool, int, int]:
     return by_tie, first, max(1, -(-(end - first) // probes))
 
 
-def _count(rows: DataFrame, spans: list[tuple[Key, Key]], probes: int) -> dict[int, list[tuple[Key, int, int]]]:
-    """Of each span, sorted and apart from each other: the weight and rows from each probe to the next."""
+def _count(rows: DataFrame, spans: list[tuple[Key, Key]], probes: int) -> dict[int, list[tuple[Key, Key, int, int]]]:
+    """Of each span, sorted and apart from each other: the weight and rows between neighbouring probes
+    (from, to, weight, rows), where there are any."""
     edges = [x for span in spans for x in span]  # place 2i + 1 is inside span i
     steps = [_step(lo, hi, probes) for lo, hi in spans]
     inside = rows.withColumn("_at", F.expr(_place_among(edges))).where("_at % 2 = 1").withColumn(
         "_i", F.expr("cast((_at - 1) / 2 as int)"))
     flag, first, step = (f"array({', '.join(x)})[_i]" for x in (
         [str(t).lower() for t, _, _ in steps], [_lit(f) for _, f, _ in steps], [_lit(d) for _, _, d in steps]))
-    sub = f"(case when {flag} then _tie else _k end - {first}) div {step}"
+    wide = any(hi[0] - lo[0] >= 1 << 62 for lo, hi in spans)  # a difference beyond a long
+    sub = f"({'cast(' * wide}case when {flag} then _tie else _k end{' as decimal(20, 0))' * wide} - {first}) div {step}"
     got = inside.groupBy("_i", F.expr(sub).alias("_sub")).agg(F.sum("_w").alias("w"), F.count("*").alias("n")).collect()
-    out: dict[int, list[tuple[Key, int, int]]] = {i: [] for i in range(len(spans))}
+    out: dict[int, list[tuple[Key, Key, int, int]]] = {i: [] for i in range(len(spans))}
     for r in sorted(got, key=lambda r: (r["_i"], r["_sub"])):  # at most ``probes`` rows per span
         by_tie, start, wide = steps[r["_i"]]
         x = start + r["_sub"] * wide
-        key = (spans[r["_i"]][0][0], x) if by_tie else (x, 0)
-        out[r["_i"]].append((max(key, spans[r["_i"]][0]), r["w"], r["n"]))
+        lo, hi = spans[r["_i"]]
+        key, end = ((lo[0], x), (lo[0], x + wide)) if by_tie else ((x, 0), (x + wide, 0))
+        out[r["_i"]].append((max(key, lo), min(end, hi), r["w"], r["n"]))
     return out
 
 
 def find_splitters(rows: DataFrame, parts: int, tolerance: float) -> list[Key]:
-    """``parts - 1`` keys with nearly equal ``_w`` between them.  ``rows``: _k, _tie, _w.
-
-    Keys of ids run over less than 2^62 values between the smallest and the largest.
-    """
+    """``parts - 1`` keys with nearly equal ``_w`` between them.  ``rows``: _k, _tie, _w."""
     lo_k, hi_k, total, count = rows.agg(F.min("_k"), F.max("_k"), F.sum("_w"), F.count("*")).first()
     if not total:
         return []
@@ -96,14 +96,15 @@ def find_splitters(rows: DataFrame, parts: int, tolerance: float) -> list[Key]:
             low, high = state[i]
             weight, n = low[1:]
             found = []
-            for key, w, c in cells[spans.index((low[0], high[0]))]:
+            for key, end, w, c in cells[spans.index((low[0], high[0]))]:
                 found.append((key, weight, n))
                 weight, n = weight + w, n + c
+                found.append((end, weight, n))
             low = max([low, *(x for x in found if x[1] <= goal)])
             high = min([high, *(x for x in found if x[1] > goal)])
             state[i] = (low, high)
             near = min(low, high, key=lambda x: abs(goal - x[1]))
-            if abs(goal - near[1]) <= slack or high[2] - low[2] <= 1:
+            if abs(goal - near[1]) <= slack or high[2] - low[2] <= 1 or low[0] >= high[0]:
                 done[i] = near[0]
     return sorted(done)
 
@@ -120,10 +121,13 @@ def histogram_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: st
     light = docs.select(
         F.col(key).alias("_id"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)],
         (F.octet_length(body) + 1).cast("long").alias("_w"), F.crc32(body.cast("binary")).alias("_crc"),
-        F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)).alias("_k"),
+        F.col(key).cast("long").alias("_k"),
         F.monotonically_increasing_id().alias("_tie"))
     # written once: the tie is fixed, and the counting rounds read no texts
     light = reliable_checkpoint(light, "shard-rows")
+    smallest = light.agg(F.min("_k")).first()[0]
+    before = 0 if smallest is None else max(smallest - 1, LOWEST)  # a null id sorts before the smallest
+    light = light.withColumn("_k", F.coalesce("_k", F.lit(before).cast("long")))
     parts = shards * ranges_per_shard
     splitters = find_splitters(light, parts, tolerance)
     ranged = light.withColumn("_range", F.expr(_place_among(splitters)))
