@@ -103,7 +103,7 @@ def bounds_are_inert(p: float = UPPER_QUANTILE, rel_err: float = QUANTILE_REL_ER
     filters and the bound filters keep exactly the non-NaN rows: no bounds
     pass is needed.  This is the original job's setting (p=0.999, rel_err=0.01).
     """
-    if exact:
+    if exact or rel_err == 0:
         return p >= 1.0
     accuracy = max(1, int(round(1.0 / rel_err)))
     return p >= 1.0 - 1.0 / accuracy
@@ -147,6 +147,8 @@ def upper_bounds(df: DataFrame, p: float = UPPER_QUANTILE, rel_err: float = QUAN
     the parity setting (p=0.999, rel_err=0.01) the sketch returns the largest
     value, so the bounds drop only NaN rows; this mirrors the original job.
     """
+    if rel_err == 0:
+        return upper_bounds_exact(df, p=p, keys=keys)
     accuracy = max(1, int(round(1.0 / rel_err)))
     if p >= 1.0 - 1.0 / accuracy:
         # The sketch answers any p >= 1 - rel_err with its last sample, which is
@@ -241,7 +243,7 @@ def month_bounds(df: DataFrame, year: int | None = None, month: int | None = Non
     Pass it to ``clean_trips`` / ``clean_stats`` / ``tag_stages`` (``bounds=``) to
     compute it once for several outputs (checkpoint it: one row per month).
     """
-    return _bounds(_prepared(df, year, month), rel_err, exact)
+    return _bounds(_prepared(df, year, month), rel_err, exact, p)
 
 
 def _all_ok(inert: bool = False) -> Column:

@@ -17,7 +17,7 @@ from ..operators.clean import (KEYS, STAGES, bounds_are_inert, finalize_trips, f
                                month_bounds, stage_counts, tag_stages)
 from ..operators.series import hourly_demand
 from ..session import reliable_checkpoint
-from ..sources.lake import read_trips, write_clean_trips, write_demand
+from ..sources.lake import drop_stale_months, read_trips, write_clean_trips, write_demand
 
 STATS_SCHEMA = ("year int, month int, total_records bigint, valid_records bigint, "
                 + ", ".join(f"dropped_{s} bigint" for s in STAGES))
@@ -47,64 +47,63 @@ def run_month(spark: SparkSession, raw_base: str, clean_base: str, demand_base:
     observation = Observation(f"drop_waterfall_{year}_{month:02d}")
     tagged = tag_stages(raw, year, month, rel_err=rel_err, bounds=bounds).observe(
         observation, *stage_counts())
-    write_clean_trips(finalize_trips(tagged.where(F.col("stage").isNull())), clean_base)
+    kept = finalize_trips(tagged.where(F.col("stage").isNull()))
+    write_clean_trips(kept, clean_base)
     counts = observation.get  # filled by the write above: no extra pass over raw
     row = {"year": year, "month": month, **{k: int(v) for k, v in counts.items()}}
     stats = finish_stats(spark.createDataFrame([row], STATS_SCHEMA).drop(*KEYS), year, month)
     _write_stats(stats, stats_base)
-    cleaned = (spark.read.parquet(clean_base)
+    written = {(year, month): row["valid_records"] > 0}
+    drop_stale_months(spark, clean_base, written)
+    cleaned = (spark.read.schema(kept.schema).parquet(clean_base)
                .where((F.col("year") == year) & (F.col("month") == month)))
     write_demand(hourly_demand(cleaned, KEYS), demand_base)
+    drop_stale_months(spark, demand_base, written)
     return stats
 
 
-def _observed_counts(months: list[tuple[int, int]]):
-    """count_if per (month, outcome): a fixed, bounded set of aggregates for ``observe``."""
-    outcomes = {"valid_records": F.col("stage").isNull(), "total_records": F.lit(True)}
-    outcomes.update({f"dropped_{st}": F.col("stage") == st for st in STAGES})
-    aggs = []
-    for y, m in months:
-        in_month = (F.col("year") == y) & (F.col("month") == m)
-        aggs += [F.count_if(in_month & cond).alias(f"{y}_{m}_{name}")
-                 for name, cond in outcomes.items()]
-    return aggs
-
-
 def run_backfill(spark: SparkSession, raw_base: str, clean_base: str, demand_base: str,
                  months: list[tuple[int, int]] | None = None, rel_err: float = 0.01,
                  stats_base: str | None = None) -> DataFrame:
     """All (or the listed) landed months in one job, each with its own bounds and grid.
 
-    The raw lake is read once: rows are tagged with the first filter they fail,
-    the per-month waterfall is counted by an ``Observation`` (one ``count_if``
-    per month and outcome; the month list is the request or the landed
-    partitions, a metadata-sized list) while the kept rows are written.  Bounds,
-    when not inert, are computed once for all months (one row per month).
+    Rows are tagged with the first filter they fail and counted per month and
+    outcome by one grouped pass over the tagged columns, whose cost does not
+    grow with the number of months; a second pass writes the kept rows.  Rows
+    that landed without a month are counted under a null month.  The run owns
+    the months it was asked for (all landed ones by default): a month left
+    without rows loses its old output.  Bounds, when not inert, are computed
+    once for all months (one row per month).
     """
     raw = spark.read.parquet(raw_base)
     if months:
         raw = raw.where(_months_filter(months))
-        month_list = sorted(set(months))
-    else:
-        month_list = sorted((r["year"], r["month"]) for r in
-                            raw.select(*KEYS).distinct().collect()
-                            if r["year"] is not None and r["month"] is not None)
     bounds = None if bounds_are_inert(rel_err=rel_err) else \
         reliable_checkpoint(month_bounds(raw, rel_err=rel_err))
-    observation = Observation("drop_waterfall_backfill")
-    tagged = tag_stages(raw, rel_err=rel_err, bounds=bounds).observe(
-        observation, *_observed_counts(month_list)) if month_list else \
-        tag_stages(raw, rel_err=rel_err, bounds=bounds)
-    write_clean_trips(finalize_trips(tagged.where(F.col("stage").isNull())), clean_base)
-    got = observation.get if month_list else {}
-    rows = [{"year": y, "month": m,
-             **{f: int(got[f"{y}_{m}_{f}"]) for f in
-                ["total_records", "valid_records", *[f"dropped_{st}" for st in STAGES]]}}
-            for y, m in month_list]
-    stats = finish_stats(spark.createDataFrame(rows, STATS_SCHEMA))
+    tagged = tag_stages(raw, rel_err=rel_err, bounds=bounds)
+    counted = tagged.groupBy(*KEYS, "stage").count()
+
+    def records(cond):
+        return F.coalesce(F.sum(F.when(cond, F.col("count"))), F.lit(0)).cast("long")
+
+    counts = counted.groupBy(*KEYS).agg(
+        records(F.lit(True)).alias("total_records"), records(F.col("stage").isNull()).alias("valid_records"),
+        *[records(F.col("stage") == st).alias(f"dropped_{st}") for st in STAGES])
+    if months:  # a month asked for and not landed has a row of zeros
+        asked = spark.createDataFrame(sorted(set(months)), "year int, month int")
+        counts = asked.join(counts, list(KEYS), "left").na.fill(0)
+    counts = reliable_checkpoint(counts.select(*[F.col(n).cast(t) for n, t in map(str.split, STATS_SCHEMA.split(", "))]),
+                                 "backfill-counts")
+    kept = finalize_trips(tagged.where(F.col("stage").isNull()))
+    write_clean_trips(kept, clean_base)
+    stats = finish_stats(counts)
     _write_stats(stats, stats_base)
-    cleaned = spark.read.parquet(clean_base)
+    written = {(r["year"], r["month"]): r["valid_records"] > 0 for r in counts.collect()  # a row per month
+               if r["year"] is not None and r["month"] is not None}
+    drop_stale_months(spark, clean_base, written)
+    cleaned = spark.read.schema(kept.schema).parquet(clean_base)
     if months:
         cleaned = cleaned.where(_months_filter(months))
     write_demand(hourly_demand(cleaned, KEYS), demand_base)
+    drop_stale_months(spark, demand_base, written)
     return stats

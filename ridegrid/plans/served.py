@@ -41,7 +41,8 @@ def in_time_range(df: DataFrame, time_col: str, start: Column, end: Column) -> D
     out = df.where(F.col(time_col).between(start, end))
     if "year" in df.columns and "month" in df.columns:
         idx = F.col("year").cast("int") * 12 + F.col("month").cast("int")
-        out = out.where(idx.between(_month_index(start), _month_index(end)))
+        # a row without keys is judged by its time alone
+        out = out.where(idx.isNull() | idx.between(_month_index(start), _month_index(end)))
     return out
 
 

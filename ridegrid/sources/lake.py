@@ -106,6 +106,22 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str] = MONTH_KEYS,
     return path
 
 
+def drop_stale_months(spark: SparkSession, path: str, written: dict[tuple[int, int], bool]) -> None:
+    """After a run that owns some months: remove folders of theirs that it did not write.
+
+    ``written``: (year, month) to whether the run wrote rows for it.  A month without rows loses its
+    folder, in either spelling of the month; one with rows loses the zero-padded spelling, which would
+    be read as a second copy.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for (year, month), rows in written.items():
+        own, padded = f"{path}/year={year}/month={month}", f"{path}/year={year}/month={month:02d}"
+        for folder in {own, padded} - ({own} if rows else set()):
+            if fs.exists(hadoop(folder)):
+                fs.delete(hadoop(folder), True)
+
+
 def write_clean_trips(clean: DataFrame, path: str) -> str:
     """Sink of cleaned trips, partitioned by landing month."""
     return write_partitioned(clean, path, sort_by=["pickup_location_id", "pickup_datetime"])

@@ -1,6 +1,8 @@
 """Served tables: declared schemas, replace / append sinks, insert-if-absent."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,8 +53,9 @@ def insert_if_absent(target: DataFrame, new: DataFrame, key: str | list[str]) ->
     join); running it again with the same ``new`` adds nothing.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    present = target.select(*keys).distinct()
-    fresh = new.join(present, keys, "left_anti")
+    present = target.select(*[F.col(k).alias(f"_present_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_present_{k}")) for k in keys]  # a null key is a key
+    fresh = new.join(present, reduce(lambda a, b: a & b, same), "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 
