@@ -19,6 +19,7 @@ result.
 """
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from array import array
@@ -37,7 +38,7 @@ SPACE = "▁"
 #: Scores are whole numbers of this fraction, so that sums are exact and ties are real ties.
 UNIT = 1_000_000
 #: Distinct words that a worker remembers; the others are searched each time.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 
 
 class Pieces:
@@ -183,18 +184,24 @@ def decode_ids(ids, pieces: Pieces) -> str:
     return raw.decode("utf-8", "replace")[1:] if raw else ""
 
 
-def _encode(path: str):
+def _encode(path: str, digest: bool = False):
+    """Adds ``ids``; with ``digest`` also the SHA-256 of the text that they decode to."""
     def run(batches):
-        _, words = load(path)
+        own, words = load(path)
         for batch in C.text_slices(batches, "_text"):
-            flat, offsets, valid = array("i"), [0], []
+            flat, offsets, valid, digests = array("i"), [0], [], []
             for text in batch.column("_text").to_pylist():
                 valid.append(text is None)
-                flat.extend(encode_text(text or "", words))
+                ids = encode_text(text or "", words)
+                flat.extend(ids)
                 offsets.append(len(flat))
+                if digest:
+                    digests.append(None if text is None else hashlib.sha256(decode_ids(ids, own).encode()).hexdigest())
             values = pa.array(np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pa.array(valid))
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), ids], names=["_row", "ids"])
+            more = [pa.array(digests, pa.string())] if digest else []
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), ids, *more],
+                                             names=["_row", "ids", "decoded_sha256"][:2 + digest])
 
     return run
 
@@ -225,10 +232,10 @@ def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
 
 def encoded_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, ids, their number, and the digest of the text that the ids decode to."""
-    ids = encode(docs, model=model, keep=["doc_id"]).select("_row.doc_id", "ids")
-    return decode(ids, model=model).select(
-        "_row.doc_id", "_row.ids", F.coalesce(F.size("_row.ids"), F.lit(0)).cast("long").alias("n_ids"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    df, row = C.carried(docs, "text", ["doc_id"])  # decoded in the same task: ids travel once
+    ids = C.map_arrow(df, _encode(model, digest=True), f"_row {row}, ids array<int>, decoded_sha256 string")
+    return ids.select("_row.doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),
+                      "decoded_sha256")
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,6 +310,8 @@ def test_pieces_round_trip_and_search(docs, empty):
             assert len(committed) > 5  # ids leave the window as the text is read
     got = pieces.encoded_documents(docs).collect()
     assert sorted(str(r.decoded_sha256) for r in got) == sorted(str(None if t is None else sha(t)) for _, t in ROWS)
+    back = pieces.decode(pieces.encode(docs, keep=["doc_id"]), "ids").collect()
+    assert sorted(str(r.decoded) for r in back) == sorted(str(t) for _, t in ROWS)
     assert pieces.encoded_documents(empty).count() == 0
 
 
