@@ -263,6 +263,8 @@ def test_sketch_distance_bounds_the_difference():
         a, b = np.unique(rng.choice(pool, n)), np.unique(rng.choice(pool, m))
         apart = jaccard_join.hamming(jaccard_join.dense_sketch(a), jaccard_join.dense_sketch(b))
         assert apart <= len(np.setxor1d(a, b))
+        x, y = (jaccard_join.coarse_sketch(jaccard_join.dense_sketch(s), len(s)) for s in (a, b))
+        assert jaccard_join.hamming(x, y) <= apart
 
 
 @pytest.mark.parametrize("shards,ranges", [(4, 2), (16, 8)])
