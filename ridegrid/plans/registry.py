@@ -325,7 +325,7 @@ FROM predictions""", "predictions"))
 def scan_predictions_csv(spark, sf):
     base = scratch_path(spark, "predictions-csv")
     L.write_predictions(fx.predictions(spark, sf), base)
-    return L.read_predictions(spark, base, [2024])
+    return L.read_predictions(spark, base, [2024], L.PREDICTION_PARTS)
 
 
 @register("prediction_from_parts", sql("""
@@ -458,8 +458,7 @@ def infer_types(spark, sf):
 
 
 @register("infer_types_trips", sql("""
-SELECT date_trunc('second', pickup_datetime) AS pickup_datetime,
-       date_trunc('second', dropoff_datetime) AS dropoff_datetime,
+SELECT pickup_datetime, dropoff_datetime,
        CAST(pickup_location_id AS BIGINT) AS pickup_location_id,
        CAST(dropoff_location_id AS BIGINT) AS dropoff_location_id,
        trip_distance, fare_amount, tip_amount,
@@ -489,7 +488,8 @@ def demand_between(spark, sf):
 SELECT DISTINCT pickup_location_id, pickup_hour, rides FROM demand
 WHERE pickup_hour BETWEEN TIMESTAMP '{WEEK_START}' AND TIMESTAMP '{WEEK_END}'""", "demand"))
 def location_week_actual(spark, sf):
-    return Q.location_week(fx.demand(spark, sf), fx.predictions(spark, sf), fx.WEEK_ANCHOR_UTC)[0]
+    dem = fx.demand(spark, sf)
+    return Q.location_week(dem, fx.predictions_from_demand(dem), fx.WEEK_ANCHOR_UTC)[0]
 
 
 @register("location_week_predicted", sql(f"""
@@ -531,7 +531,8 @@ def format_hour_q(spark, sf):
 SELECT pickup_location_id, strftime(pickup_hour, '%Y-%m-%d %H:%M:%S') AS pickup_hour, rides
 FROM demand""", "demand"))
 def location_series(spark, sf):
-    return Q.location_series(fx.demand(spark, sf), fx.predictions(spark, sf))[0]
+    dem = fx.demand(spark, sf)
+    return Q.location_series(dem, fx.predictions_from_demand(dem))[0]
 
 
 @register("location_series_predicted", sql("""
@@ -657,6 +658,13 @@ def demand_forecast(spark, sf):
     return FC.demand_forecast(fx.demand(spark, sf), FORECAST_SPLIT)
 
 
+@register("demand_forecast_keys", sql(f"""
+SELECT pickup_location_id, pickup_hour AS prediction_datetime FROM demand
+WHERE pickup_hour >= TIMESTAMP '{FORECAST_SPLIT}'""", "demand"))
+def demand_forecast_keys(spark, sf):
+    return FC.demand_forecast(fx.demand(spark, sf), FORECAST_SPLIT).select("pickup_location_id", "prediction_datetime")
+
+
 @register("forecast_accuracy")  # the model scored by the metrics operator: rows-only check
 def forecast_accuracy(spark, sf):
     dem = fx.demand(spark, sf)

@@ -8,6 +8,7 @@ so re-running a month replaces that month and nothing else.
 """
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from ..schemas import PREDICTION_CSV
 
 MONTH_KEYS = ["year", "month"]
 PREDICTION_KEYS = ["pickup_location_id", "year", "month", "day", "hour"]
+#: Names of the files that ``write_predictions`` writes.
+PREDICTION_PARTS = "part-*.csv"
 
 
 # -------------------------------------------------------------------- scans
@@ -62,18 +65,31 @@ def read_demand(spark: SparkSession, base: str, years: list[int] | None = None)
 
 
 def read_predictions(spark: SparkSession, base: str, years: list[int] | None = None,
-                     file_glob: str = "*.csv",
+                     file_glob: str = "prediction.csv", with_time: bool = True,
                      schema: T.StructType = PREDICTION_CSV) -> DataFrame:
     """Prediction CSVs with a header row; the five path keys become int columns.
 
-    Files are matched by ``file_glob`` (the original layout names every file
-    ``prediction.csv``, which ``*.csv`` matches).  Folders whose key value is
-    not a number carry a null key and are dropped.
+    Files are matched by ``file_glob``: the original layout names every file
+    ``prediction.csv``; ``write_predictions`` writes ``PREDICTION_PARTS``.
+    ``with_time=False`` reads files that have no time column.  With ``years``
+    only those year folders are listed.  Folders whose key value is not a
+    number carry a null key and are dropped.
     """
-    df = (spark.read.option("header", True).option("pathGlobFilter", file_glob)
-          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-          .option("enforceSchema", False)
-          .schema(schema).csv(base))
+    if not with_time:
+        schema = T.StructType([f for f in schema.fields if f.name != "prediction_datetime"])
+    reader = (spark.read.option("header", True).option("pathGlobFilter", file_glob)
+              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+              .option("enforceSchema", False).schema(schema))
+    if years:
+        glob = f"{base.rstrip('/')}/pickup_location_id=*/year={{{','.join(str(y) for y in sorted(set(years)))}}}"
+        try:
+            df = reader.option("basePath", base).csv(glob)
+        except Exception as e:  # no such year: an empty part of the lake
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            df = reader.csv(base)
+    else:
+        df = reader.csv(base)
     for k in PREDICTION_KEYS:
         if k not in df.columns:
             raise ValueError(f"prediction folder key {k!r} missing under {base}")
@@ -130,14 +146,14 @@ def write_clean_trips(clean: DataFrame, path: str) -> str:
 def write_demand(demand: DataFrame, path: str) -> str:
     """Sink of the hourly series, narrowed to the served types and sorted.
 
-    The series is small (hours x locations), so it is range-partitioned by
-    (year, month, location, hour) first: files come out globally ordered.
+    A month of the series is bounded by the calendar (hours x locations), so
+    each month is one task and one file, ordered by location and hour; no
+    sampling pass runs the series a second time.
     """
     from .serve import conform
     from ..schemas import TAXI_RIDES
     narrow = conform(demand, TAXI_RIDES)
-    ordered = narrow.repartitionByRange("year", "month", "pickup_location_id", "pickup_hour")
-    return write_partitioned(ordered, path, sort_by=["pickup_location_id", "pickup_hour"])
+    return write_partitioned(narrow.repartition(*MONTH_KEYS), path, sort_by=["pickup_location_id", "pickup_hour"])
 
 
 def write_predictions(pred: DataFrame, path: str, with_time: bool = True) -> str:
@@ -168,8 +184,12 @@ def prediction_keys(pred: DataFrame) -> DataFrame:
 
 
 def landed_months(spark: SparkSession, base: str) -> DataFrame:
-    """(year, month) partitions present under ``base``."""
-    return spark.read.parquet(base).select(*MONTH_KEYS).distinct()
+    """(year, month) folders with files under ``base``, from their names: no file is opened."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/year=*/month=*/[^_.]*")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = {re.search(r"/year=(\d+)/month=(\d+)/[^/]*$", f.getPath().toString()) for f in fs.globStatus(folder) or []}
+    months = sorted({(int(m[1]), int(m[2])) for m in names if m})
+    return spark.createDataFrame(months, "year int, month int")
 
 
 def missing_months(requested: DataFrame, existing: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Typing of all-text result sets (as a remote SQL engine returns them).
 
-``to_text`` renders every cell as a string ('' for null).  ``infer_column_types``
-decides per column, in ONE aggregation over all columns: timestamp if every
-non-empty cell parses as a full ``yyyy-MM-dd HH:mm:ss`` date-time, else number
+``to_text`` renders every cell as a string ('' for null; times keep their
+fraction).  ``infer_column_types`` decides per column, in ONE aggregation over
+all columns: timestamp if every non-empty cell is a date or a date-time with or
+without a fraction of a second (a year alone is a number), else number
 (bigint when every cell is integral, double otherwise), else string; then one
 select applies the casts.  Only the per-column flags (one row) reach the
 driver, since the output schema has to be known before the plan is built.
@@ -12,21 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import HOUR_FORMAT
+#: A date, or a date-time, with or without a fraction of a second; as a pattern and as a format.
+TIME_TEXT = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
+TIME_FORMAT = "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]"
 
 
 def to_text(df: DataFrame) -> DataFrame:
-    out = []
-    for c, t in df.dtypes:
-        col = F.col(c)
-        if t.startswith("timestamp"):
-            col = F.date_format(col, HOUR_FORMAT)
-        out.append(F.coalesce(col.cast("string"), F.lit("")).alias(c))
-    return df.select(*out)
+    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
 
 
 def _as_ts(c):
-    return F.try_to_timestamp(F.col(c), F.lit(HOUR_FORMAT))
+    # wall-clock time, so no session time zone can shift it
+    return F.when(F.col(c).rlike(TIME_TEXT), F.col(c).try_cast("timestamp_ntz"))
 
 
 def _as_double(c):
@@ -54,7 +52,7 @@ def infer_column_types(df: DataFrame) -> DataFrame:
     for c in cols:
         blank = F.col(c) == ""
         if flags[f"{c}__not_ts"] == 0:
-            out.append(F.when(blank, None).otherwise(_as_ts(c).cast("timestamp_ntz")).alias(c))
+            out.append(F.when(blank, None).otherwise(_as_ts(c)).alias(c))
         elif flags[f"{c}__not_int"] == 0:
             out.append(F.when(blank, None).otherwise(_as_long(c)).alias(c))
         elif flags[f"{c}__not_num"] == 0:
@@ -65,7 +63,7 @@ def infer_column_types(df: DataFrame) -> DataFrame:
 
 
 def typed_result(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Fixed typing: timestamp columns parsed with the hour format, others cast."""
+    """Fixed typing: timestamp columns parsed as dates or date-times, others cast."""
     out = []
     for c in df.columns:
         t = types.get(c)
@@ -73,7 +71,7 @@ def typed_result(df: DataFrame, types: dict[str, str]) -> DataFrame:
         if t is None:
             out.append(F.col(c))
         elif t.startswith("timestamp"):
-            out.append(F.to_timestamp_ntz(col, F.lit(HOUR_FORMAT)).alias(c))
+            out.append(F.to_timestamp_ntz(col, F.lit(TIME_FORMAT)).alias(c))
         else:
             out.append(col.cast(t).alias(c))
     return df.select(*out)

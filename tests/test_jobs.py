@@ -98,8 +98,8 @@ def test_prediction_scan_skips_non_numeric_folders(spark):
     L.write_predictions(pred, base)
     junk = base.replace("file:", "") + "/pickup_location_id=notes/year=2024/month=1/day=5/hour=3"
     os.makedirs(junk)
-    with open(junk + "/prediction.csv", "w") as f:
+    with open(junk + "/part-0.csv", "w") as f:
         f.write("prediction_datetime,predicted_rides\n2024-01-05 03:00:00,99\n")
-    got = L.read_predictions(spark, base, [2024]).collect()
+    got = L.read_predictions(spark, base, [2024], L.PREDICTION_PARTS).collect()
     assert [(r.pickup_location_id, r.year, r.hour, r.predicted_rides) for r in got] == [(43, 2024, 3, 7)]
-    assert dict(L.read_predictions(spark, base).dtypes)["pickup_location_id"] == "int"
+    assert dict(L.read_predictions(spark, base, file_glob=L.PREDICTION_PARTS).dtypes)["pickup_location_id"] == "int"

@@ -4,12 +4,15 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ridegrid.operators import clean as C
+from ridegrid.operators.forecast import demand_forecast
 from ridegrid.operators.clean import with_landing_month
 from ridegrid.plans.monthly_job import run_backfill, run_month
 from ridegrid.plans.served import demand_range
 from ridegrid.session import scratch_path
-from ridegrid.sources.lake import write_partitioned
-from ridegrid.sources.serve import insert_if_absent
+from ridegrid.sources.lake import (PREDICTION_PARTS, landed_months, read_predictions, write_partitioned,
+                                   write_predictions)
+from ridegrid.sources.serve import insert_if_absent, load_predictions
+from ridegrid.sources.typing import infer_column_types, to_text, typed_result
 
 COLS = ("tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID int, DOLocationID int, "
         "trip_distance double, total_amount double, fare_amount double, tip_amount double, payment_type int, "
@@ -74,3 +77,49 @@ def test_month_bounds_follow_p_and_error(spark):
     exact = C.month_bounds(df, 2024, 1, rel_err=0, p=0.5).first().asDict()
     top = [v for k, v in half.items() if "amount" in k][0]
     assert abs(top - 500) <= 2 and abs([v for k, v in exact.items() if "amount" in k][0] - 500) <= 1
+
+
+def test_text_keeps_fractions_and_dates(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-01 05:00:00.179575' as a, timestamp_ntz'2024-01-02 00:00:00' as b")
+    assert tuple(to_text(df).first()) == ("2024-01-01 05:00:00.179575", "2024-01-02 00:00:00")
+    assert infer_column_types(to_text(df)).collect() == df.collect()
+    text = spark.createDataFrame([("2024-01-01 05:00:00.000", "2024-01-01", "2024", "2024-13-01"), ("", "2024-01-02", "", "")],
+                                 "a string, b string, c string, d string")
+    got = infer_column_types(text)
+    assert [t for _, t in got.dtypes] == ["timestamp_ntz", "timestamp_ntz", "bigint", "string"]
+    first = got.collect()[0]
+    assert first["a"] == dt.datetime(2024, 1, 1, 5) and first["b"] == dt.datetime(2024, 1, 1)
+    typed = typed_result(text.select("a", "b"), {"a": "timestamp_ntz", "b": "timestamp_ntz"}).collect()
+    assert typed[0]["a"] == dt.datetime(2024, 1, 1, 5) and typed[0]["b"] == dt.datetime(2024, 1, 1) and typed[1]["a"] is None
+
+
+def test_forecast_does_not_see_later_actuals(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(hours=h), loc, (h % 24) * loc + h // 168) for h in range(24 * 15) for loc in (1, 2)]
+    series = spark.createDataFrame(rows, "pickup_hour timestamp_ntz, pickup_location_id int, rides int")
+    cut = start + dt.timedelta(days=12)
+    later = series.withColumn("rides", F.when(F.col("pickup_hour") >= F.lit(cut).cast("timestamp_ntz"), F.col("rides") + 50)
+                              .otherwise(F.col("rides")))
+    key = ["pickup_location_id", "prediction_datetime"]
+    one, two = (demand_forecast(s, cut, max_iter=3).orderBy(*key).collect() for s in (series, later))
+    assert one == two and len(one) == 2 * 24 * 3
+
+
+def test_prediction_files_without_time(spark):
+    base = scratch_path(spark, "no-time")
+    t = dt.datetime(2024, 1, 5, 7)
+    pred = spark.createDataFrame([(43, t, 5), (74, t + dt.timedelta(hours=1), 0)],
+                                 "pickup_location_id int, prediction_datetime timestamp_ntz, predicted_rides int")
+    write_predictions(pred, base, with_time=False)
+    got = load_predictions(read_predictions(spark, base, [2024], PREDICTION_PARTS, with_time=False))
+    assert sorted(map(tuple, got.collect())) == [(43, t, 5), (74, t + dt.timedelta(hours=1), 0)]
+    assert read_predictions(spark, base, [2023], PREDICTION_PARTS, with_time=False).count() == 0
+    assert read_predictions(spark, base, with_time=False).count() == 0  # no file of the original name
+
+
+def test_landed_months_are_read_from_folder_names(spark):
+    lake, _, _ = roots(spark, with_landing_month(trips(spark, [10.0]), 2024, 1).unionByName(
+        with_landing_month(trips(spark, [10.0]), 2023, 12)))
+    months = landed_months(spark, lake)
+    assert sorted(map(tuple, months.collect())) == [(2023, 12), (2024, 1)]
+    assert "FileScan" not in months._jdf.queryExecution().toString()
