@@ -58,8 +58,8 @@ def hour_location_grid(series: DataFrame, keys: list[str] | None = None,
     bounds = hour_bounds(series, keys, hour_col).drop("n_hours")
     locs = distinct_locations(series, keys, loc_col)
     if keys:
-        # bounds has one row per key (month): a size-bounded broadcast.
-        cells = locs.join(F.broadcast(bounds), keys, "inner")
+        # one row per key: small for months, and not forced to be broadcast for finer keys
+        cells = locs.join(bounds, keys, "inner")
     else:
         # one global span: attach it as scalar subqueries (evaluated once)
         cells = locs.select(loc_col, bounds.select("first_hour").scalar().alias("first_hour"),
