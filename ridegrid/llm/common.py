@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +34,20 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[list(range(0x30, 0x3A)) + list(range(0x61, 0x7B)) + list(range(0x80, 0x100))] = True
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit words whose output bits all depend on all input bits."""
+    x = x.astype(np.uint64, copy=True)
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -94,11 +107,19 @@ class Words:
         """Words from each word to the end of its text, itself included."""
         return np.repeat(self.offsets[1:], self.counts) - np.arange(self.n)
 
-    def hashes(self, seed: str = "0123456789123456") -> np.ndarray:
-        """A 64-bit hash of each word."""
-        own = pd.util.hash_array(np.array(self.vocab.to_pylist(), dtype=object), hash_key=seed) \
-            if len(self.vocab) else np.zeros(0, np.uint64)
-        return own[self.codes]
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word: of each distinct one, the sum of its bytes' random values, weighted by
+        the powers of an odd number, mixed with its length; ``seed`` sets the values and the number."""
+        if not len(self.vocab):
+            return np.zeros(0, np.uint64)
+        data, off = utf8(self.vocab)
+        sizes = np.diff(off)
+        values = mix(np.arange(1, 257, dtype=np.uint64) * ODD ^ np.uint64(seed))
+        power = np.full(int(sizes.max()), ODD ^ np.uint64(2 * seed), np.uint64)
+        np.multiply.accumulate(power, out=power)
+        at = np.arange(len(data)) - np.repeat(off[:-1], sizes)
+        own = np.add.reduceat(values[data] * power[at], off[:-1])
+        return mix(own ^ mix(sizes.astype(np.uint64)))[self.codes]
 
 
 def words_of(texts: pa.Array, lower: bool = True, word_bytes: np.ndarray = NOT_SPACE) -> Words:
@@ -123,20 +144,6 @@ def words_of(texts: pa.Array, lower: bool = True, word_bytes: np.ndarray = NOT_S
     return Words(codes, np.searchsorted(starts, off), words.dictionary, starts, ends, data, off)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit words whose output bits all depend on all input bits."""
-    x = x.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
-
-
-ODD = np.uint64(0x9E3779B97F4A7C15)
-
-
 def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of ``k`` consecutive words (of the whole slice; runs may cross texts)."""
     m = len(hashes) - k + 1

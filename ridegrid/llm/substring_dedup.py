@@ -73,7 +73,7 @@ def _span_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return C.mix((total[ends] - total[starts]) * back[starts]) ^ C.mix((ends - starts).astype(np.uint64))
 
 
-OTHER = "6543210987654321"
+OTHER = 0x2545F4914F6CDD1D
 
 
 def _occurrences(window: int, seed: int, full: bool):
@@ -115,7 +115,7 @@ def _windows(window: int):
                     docs.append(np.full(s["n"], d))
             at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
             doc = np.concatenate(docs) if docs else at
-            one, two = (_span_hashes(w.hashes(seed), at, at + window) for seed in ("0123456789123456", OTHER))
+            one, two = (_span_hashes(w.hashes(seed), at, at + window) for seed in (0, OTHER))
             yield C.rows(schema, one.view(np.int64), two.view(np.int64), batch.column("k").to_numpy()[doc],
                          batch.column("h").to_numpy()[doc], (at - w.offsets[doc]).astype(np.int32))
 
