@@ -25,7 +25,7 @@ from ..sources import lake as L
 from ..sources import serve as SV
 from ..sources import typing as TY
 from . import served as Q
-from .oracle import sql
+from .oracle import CTES, sql
 
 Y, MO = fx.FIXTURE_YEAR, fx.FIXTURE_MONTH
 RAW_COLS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID",
@@ -711,3 +711,115 @@ FROM demand""", "demand"))
 def row_counts(spark, sf):
     from ..schemas import LOCATION_NAMES
     return Q.row_counts(fx.demand(spark, sf), sorted(LOCATION_NAMES))
+
+
+# ------------------------------------------------------------ the same operators over all months
+# The queries above feed these operators the 2024-01 series; ``<name>_all_months`` feeds them every
+# month of the trips, so that lags, metrics and summaries cross month edges.
+_MONTHS_CTES = {**_BACKFILL_CTES, "filtered": """
+SELECT p.* FROM bprep p JOIN bq q ON p.year = q.year AND p.month = q.month
+WHERE duration > 0 AND duration <= max_duration
+  AND total_amount >= 2.5 AND total_amount <= max_total_amount
+  AND trip_distance > 0 AND trip_distance <= max_distance
+  AND PULocationID NOT IN (1, 264, 265) AND passenger_count >= 1 AND passenger_count <= 5""",
+                "final": CTES["final"][1],
+                "demand": "SELECT pickup_hour, pickup_location_id, rides FROM bdemand",
+                "predictions": CTES["predictions"][1], "pairs": CTES["pairs"][1]}
+
+
+def _months_sql(name: str) -> str:
+    """The query's own oracle body over the series and the cleaned trips of all months."""
+    heads = [sql("", *needs).rstrip() for needs in (("demand",), ("final",), ("demand", "final"), ("predictions",),
+                                                    ("pairs",))]
+    head = max((h for h in heads if ORACLE[name].startswith(f"{h}\n")), key=len)
+    return sql(ORACLE[name][len(head):], "not_null", extra=_MONTHS_CTES)
+
+
+def _all_trips(spark, sf):
+    return C.finalize_trips(C.clean_trips(C.assign_landing_month(_trips(spark, sf))), keep_keys=False)
+
+
+def _all_demand(spark, sf):
+    return S.backfill(_trips(spark, sf)).select("pickup_hour", "pickup_location_id", "rides")
+
+
+def _pairs(dem):
+    return M.actual_vs_predicted(dem, fx.predictions_from_demand(dem))
+
+
+def _replaced(dem):
+    pred, path = fx.predictions_from_demand(dem), scratch_path(dem.sparkSession, "served-predictions")
+    SV.serve(pred.where(F.col("predicted_rides") > 0), path, "overwrite", PREDICTED_RIDES)
+    SV.serve(pred, path, "overwrite", PREDICTED_RIDES)
+    return SV.read_served(dem.sparkSession, path)
+
+
+def _appended(dem):
+    path, cut = scratch_path(dem.sparkSession, "served-demand"), F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    SV.serve(dem.where(F.col("pickup_hour") < cut), path, "overwrite")
+    SV.serve(dem.where(F.col("pickup_hour") >= cut), path, "append")
+    return SV.read_served(dem.sparkSession, path)
+
+
+def _named(dem):
+    path = scratch_path(dem.sparkSession, "named-demand")
+    SV.serve(dem, path)
+    name = "taxi_rides_" + path.rsplit("-", 1)[-1]
+    SV.register_table(dem.sparkSession, name, path)
+    return dem.sparkSession.table(name).select("pickup_hour", "pickup_location_id", "rides")
+
+
+def _absent(final, dem):
+    by_dropoff = (S.hourly_rides(final, keys=[], loc_col="dropoff_location_id")
+                  .withColumn("rides", F.col("rides").cast("int")))
+    once = SV.insert_if_absent(dem, by_dropoff, "pickup_location_id")
+    return SV.insert_if_absent(once, by_dropoff, "pickup_location_id")
+
+
+def _counted(dem):
+    from ..schemas import LOCATION_NAMES
+    return Q.row_counts(dem, sorted(LOCATION_NAMES))
+
+
+_OVER_MONTHS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "lag_features": FE.lag_features,
+    "fourier_features": FE.fourier_features,
+    "location_summary": Q.location_summary,
+    "demand_by_band": Q.demand_by_band,
+    "row_counts": _counted,
+    "first_locations": lambda dem: Q.first_locations(dem, 10),
+    "location_series": lambda dem: Q.location_series(dem, fx.predictions_from_demand(dem))[0],
+    "location_series_predicted": lambda dem: Q.location_series(dem, fx.predictions_from_demand(dem))[1],
+    "format_hour": lambda dem: dem.select("pickup_location_id", format_hour("pickup_hour").alias("pickup_hour_text")),
+    "actual_vs_predicted": _pairs,
+    "location_names": lambda dem: M.compare(dem, fx.predictions_from_demand(dem)),
+    "forecast_metrics": lambda dem: _round(M.forecast_metrics(_pairs(dem)), ["mae", "mape"]),
+    "forecast_metrics_by_location": lambda dem: _round(
+        M.forecast_metrics(_pairs(dem), ["pickup_location_id"]), ["mae", "mape"]),
+    "demand_forecast_keys": lambda dem: FC.demand_forecast(dem, FORECAST_SPLIT).select(
+        "pickup_location_id", "prediction_datetime"),
+    "infer_types": lambda dem: TY.infer_column_types(TY.to_text(dem)),
+    "typed_result": lambda dem: TY.typed_result(TY.to_text(dem), {
+        "pickup_hour": "timestamp_ntz", "pickup_location_id": "int", "rides": "int"}),
+    "serve_append": _appended,
+    "serve_replace": _replaced,
+    "named_table_scan": _named,
+}
+
+
+def _over_months(of):
+    return lambda spark, sf: of(_all_demand(spark, sf))
+
+
+for _name, _of in _OVER_MONTHS.items():
+    register(f"{_name}_all_months", _months_sql(_name))(_over_months(_of))
+
+
+@register("infer_types_trips_all_months", _months_sql("infer_types_trips"))
+def infer_types_trips_all_months(spark, sf):
+    return TY.infer_column_types(TY.to_text(_all_trips(spark, sf)))
+
+
+@register("insert_if_absent_all_months", _months_sql("insert_if_absent"))
+def insert_if_absent_all_months(spark, sf):
+    return _absent(_all_trips(spark, sf), _all_demand(spark, sf))
