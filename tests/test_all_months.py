@@ -1,7 +1,7 @@
 """The series operators see every month of the trips, and lags cross a month's edge."""
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from ridegrid.plans.registry import ORACLE, QUERIES
 
 

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from paths import SF001, SF01
 from ridegrid import fixtures as fx
 from ridegrid.operators import clean as C
 from ridegrid.operators import metrics as M

@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from ridegrid import fixtures as fx
 from ridegrid.operators import clean as C
 from ridegrid.operators import series as S
@@ -78,7 +78,7 @@ def test_landing_stream_builds_landed_months(spark):
 
 
 def test_run_month_stats_equal_one_pass_stats_and_empty_month(spark):
-    from conftest import SF01
+    from paths import SF01
     raw = scratch_path(spark, "job-raw2")
     L.write_partitioned(C.with_landing_month(fx.trips(spark, SF01), 2024, 1), raw)
     out = scratch_path(spark, "job-out2")

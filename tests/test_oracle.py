@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
-from conftest import SF01
+from paths import SF01
 from ridegrid.plans.registry import ORACLE, QUERIES
 
 NAMES = list(QUERIES)

@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from paths import SF001
 from ridegrid import fixtures as fx
 from ridegrid.operators import clean as C
 from ridegrid.operators import series as S
