@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from ridegrid.llm.decontamination import op4_benchmark_decontamination
+from ridegrid.llm.filter_audit import op13_filter_interaction_audit
 from ridegrid.llm.jaccard_join import op5_ngram_jaccard_join
 from ridegrid.llm.line_dedup import op8_line_dedup
 from ridegrid.llm.lm_scoring import op1_lm_scoring
@@ -11,11 +12,14 @@ from ridegrid.llm.secret_scan import op3_secret_scans
 from ridegrid.llm.sharding import op6_sharding
 from ridegrid.llm.substring_dedup import op9_substring_dedup
 from ridegrid.llm.url_filter import op2_url_filters
+from ridegrid.llm.vector_codes import op12_vector_code_compression
+from ridegrid.llm.vector_search import op11_exact_top_k_search
 
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_url_filters, op3_secret_scans, op4_benchmark_decontamination,
     op5_ngram_jaccard_join, op6_sharding, op7_sentencepiece, op8_line_dedup,
-    op9_substring_dedup, op10_quality_rules)}
+    op9_substring_dedup, op10_quality_rules, op11_exact_top_k_search, op12_vector_code_compression,
+    op13_filter_interaction_audit)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"'[^\x20\x09-\x0D]+'"
@@ -141,7 +145,85 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_co
 FROM m
 """
 
+WHOLE = """embedding IS NOT NULL
+  AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)"""
+
+OP11 = f"""
+WITH v AS (SELECT row_number() OVER () AS i, vec_id,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings WHERE {WHOLE}),
+s AS (SELECT q.i, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.i <> c.i WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def _op12(rounds: int = 4, parts: int = 4, width: int = 16, entries: int = 256) -> str:
+    """Each round spelled out: distances of every part to every entry, the closest, and the means."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (SELECT i, p, arg_min(j, (d, j)) AS j, min(d) AS d FROM (SELECT i, x.p, j,
+    CAST(list_dot_product(x.x, x.x) - 2 * list_dot_product(x.x, b.x) + list_dot_product(b.x, b.x) AS BIGINT) AS d
+  FROM x JOIN b{i} b ON x.p = b.p) GROUP BY i, p)""")
+        if i < rounds:
+            steps.append(f"""
+b{i + 1} AS MATERIALIZED (SELECT p, j, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN (
+  SELECT p, j, list(floor(s / n) ORDER BY pos) AS x FROM (SELECT a.p, a.j, pos, sum(x.x[pos]) AS s, count(*) AS n
+    FROM a{i} a JOIN x ON a.i = x.i AND a.p = x.p, range(1, {width + 1}) t(pos) GROUP BY a.p, a.j, pos)
+  GROUP BY p, j) m USING (p, j))""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings WHERE {WHOLE}),
+x AS MATERIALIZED (SELECT i, p, x[p * {width} + 1:(p + 1) * {width}] AS x FROM v, range({parts}) t(p)),
+b0 AS MATERIALIZED (SELECT p, i - 1 AS j, x FROM x WHERE i <= {entries}),{",".join(steps)},
+coded AS (SELECT i, string_agg(format('{{:02x}}', j), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY i),
+books AS (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, j, pos)) AS digest
+  FROM (SELECT p, j, unnest(x) AS c, generate_subscripts(x, 1) AS pos FROM b{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  digest AS codebooks_sha256
+FROM v JOIN coded USING (i), books
+"""
+
+
+OP13 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), {WORD}) AS w FROM documents),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels GROUP BY doc_id),
+f AS (SELECT d.part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS failed
+  FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f GROUP BY part, failed),
+s AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM s a, s b, s c, s d, s e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+t AS (SELECT filter_order, step, 1 << (instr('ABCDE', filter_order[step]) - 1) AS bit, coalesce(list_sum(list_transform(
+    range(1, step), lambda i: 1 << (instr('ABCDE', filter_order[i]) - 1))), 0) AS before
+  FROM o, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)),
+r AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN failed & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN failed & before = 0 AND failed & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN failed & before <> 0 AND failed & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failed = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN failed & before = 0 AND failed & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN failed & before = 0 AND failed & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, t GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
 #: Scoring by a trained model (1), a token-efficiency test (3), splitters found within a tolerance
 #: (6) and piece encoding (7) have no SQL form; tests compare them with brute force.
 ORACLE = {"op2_url_filters": OP2, "op4_benchmark_decontamination": OP4, "op5_ngram_jaccard_join": OP5,
-          "op8_line_dedup": OP8, "op9_substring_dedup": OP9, "op10_quality_rules": OP10}
+          "op8_line_dedup": OP8, "op9_substring_dedup": OP9, "op10_quality_rules": OP10,
+          "op11_exact_top_k_search": OP11, "op12_vector_code_compression": _op12(),
+          "op13_filter_interaction_audit": OP13}
