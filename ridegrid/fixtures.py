@@ -75,3 +75,24 @@ def predictions_from_demand(dem: DataFrame) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predictions_from_demand(demand(spark, sf_dir))
+
+
+#: Physical types of three kinds of monthly files; a column not named keeps its type.
+MONTH_TYPES = [
+    {"passenger_count": "bigint", "PULocationID": "bigint", "trip_distance": "decimal(10,2)", "payment_type": "smallint"},
+    {"passenger_count": "int", "DOLocationID": "double", "tpep_dropoff_datetime": "timestamp", "payment_type": "string"},
+    {"PULocationID": "double", "trip_distance": "float", "total_amount": "double"},
+]
+
+
+def write_mixed_lake(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """``trips`` as a raw lake whose months were written with different physical types."""
+    from .operators.clean import assign_landing_month
+    from .sources.lake import write_partitioned
+    keyed = assign_landing_month(trips(spark, sf_dir))
+    for i, types in enumerate(MONTH_TYPES):
+        part = keyed.where((F.col("year") * 12 + F.col("month")) % len(MONTH_TYPES) == i)
+        part = part.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+        if i == 1:
+            part = part.withColumn("airport_fee", F.lit(1.25)).withColumnRenamed("fare_amount", "Fare_Amount")
+        write_partitioned(part, base, mode="append")

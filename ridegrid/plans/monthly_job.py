@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from ..operators.clean import (KEYS, STAGES, bounds_are_inert, finalize_trips, finish_stats,
                                month_bounds, stage_counts, tag_stages)
 from ..operators.series import hourly_demand
+from ..schemas import RAW_TYPES
 from ..session import reliable_checkpoint
 from ..sources.lake import drop_stale_months, read_trips, write_clean_trips, write_demand
+from ..sources.mixed import read_months
 
 STATS_SCHEMA = ("year int, month int, total_records bigint, valid_records bigint, "
                 + ", ".join(f"dropped_{s} bigint" for s in STAGES))
@@ -31,6 +33,16 @@ def _months_filter(months: list[tuple[int, int]]):
     return cond
 
 
+def job_columns(raw: DataFrame) -> DataFrame:
+    """Raw trips whose columns that the job compares are numbers and times.
+
+    A column that some month holds as text is text in all of them (``mixed``); here such a column gets its
+    declared type, and text that is none of it is a missing value.
+    """
+    text = [f.name for f in raw.schema.fields if f.dataType.simpleString() == "string" and f.name in RAW_TYPES]
+    return raw.withColumns({c: F.col(c).try_cast(RAW_TYPES[c]) for c in text}) if text else raw
+
+
 def _write_stats(stats: DataFrame, stats_base: str | None) -> None:
     if stats_base:
         (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -41,7 +53,7 @@ def run_month(spark: SparkSession, raw_base: str, clean_base: str, demand_base:
               year: int, month: int, rel_err: float = 0.01,
               stats_base: str | None = None) -> DataFrame:
     """Clean one landed month and write both layers; returns the drop statistics."""
-    raw = read_trips(spark, raw_base, year, month)
+    raw = job_columns(read_trips(spark, raw_base, year, month))
     bounds = None if bounds_are_inert(rel_err=rel_err) else \
         reliable_checkpoint(month_bounds(raw, year, month, rel_err=rel_err))
     observation = Observation(f"drop_waterfall_{year}_{month:02d}")
@@ -67,6 +79,7 @@ def run_backfill(spark: SparkSession, raw_base: str, clean_base: str, demand_bas
                  stats_base: str | None = None) -> DataFrame:
     """All (or the listed) landed months in one job, each with its own bounds and grid.
 
+    Months may have been written with different physical types (``sources.mixed``).
     Rows are tagged with the first filter they fail and counted per month and
     outcome by one grouped pass over the tagged columns, whose cost does not
     grow with the number of months; a second pass writes the kept rows.  Rows
@@ -75,7 +88,7 @@ def run_backfill(spark: SparkSession, raw_base: str, clean_base: str, demand_bas
     without rows loses its old output.  Bounds, when not inert, are computed
     once for all months (one row per month).
     """
-    raw = spark.read.parquet(raw_base)
+    raw = job_columns(read_months(spark, raw_base, months or None))
     if months:
         raw = raw.where(_months_filter(months))
     bounds = None if bounds_are_inert(rel_err=rel_err) else \

@@ -25,6 +25,7 @@ from ..sources import lake as L
 from ..sources import serve as SV
 from ..sources import typing as TY
 from . import served as Q
+from .monthly_job import run_backfill
 from .oracle import CTES, sql
 
 Y, MO = fx.FIXTURE_YEAR, fx.FIXTURE_MONTH
@@ -291,6 +292,22 @@ def backfill_stats(spark, sf):
     return C.clean_stats(C.assign_landing_month(_trips(spark, sf)))
 
 
+_SERVED_DEMAND = _bsql("""
+SELECT CAST(pickup_hour AS TIMESTAMP) AS pickup_hour,
+       CAST(pickup_location_id AS SMALLINT) AS pickup_location_id,
+       CAST(rides AS SMALLINT) AS rides, year, month
+FROM bdemand""")
+
+
+@register("backfill_mixed_types", _SERVED_DEMAND)
+def backfill_mixed_types(spark, sf):
+    """The demand layer that the many-month job writes from months of different physical types."""
+    base = scratch_path(spark, "mixed-lake")
+    fx.write_mixed_lake(spark, sf, f"{base}/raw")
+    run_backfill(spark, f"{base}/raw", f"{base}/clean", f"{base}/demand")
+    return L.read_demand(spark, f"{base}/demand")
+
+
 # ------------------------------------------------------------ scans and sinks (S, K, U1)
 @register("scan_month_trips", sql("""
 SELECT *, CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,

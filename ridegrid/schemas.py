@@ -15,6 +15,11 @@ REQUIRED_COLUMNS = [
     "trip_distance", "passenger_count",
 ]
 
+# Types that the cleaning job compares by, for columns that arrive as text.
+RAW_TYPES = {RAW_PICKUP: "timestamp_ntz", RAW_DROPOFF: "timestamp_ntz", RAW_PU: "bigint", RAW_DO: "bigint",
+             "trip_distance": "double", "total_amount": "double", "fare_amount": "double", "tip_amount": "double",
+             "payment_type": "bigint", "passenger_count": "double"}
+
 # Pickup zones outside the city proper, and filter edges.
 EXCLUDED_LOCATIONS = [1, 264, 265]
 MIN_TOTAL_AMOUNT = 2.5

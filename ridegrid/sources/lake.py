@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PREDICTION_CSV
+from .mixed import read_months
 
 MONTH_KEYS = ["year", "month"]
 PREDICTION_KEYS = ["pickup_location_id", "year", "month", "day", "hour"]
@@ -24,27 +25,14 @@ PREDICTION_PARTS = "part-*.csv"
 
 
 # -------------------------------------------------------------------- scans
-def _month_glob(base: str, year: int, month: int) -> str:
-    # Month folders may be written "month=1" (Spark) or "month=01" (hand-landed files).
-    return f"{base.rstrip('/')}/year={year}/month={{{month},{month:02d}}}"
-
-
 def read_trips(spark: SparkSession, base: str, year: int, month: int) -> DataFrame:
     """One landing month of raw trips.
 
-    Only that month's folder is listed (a glob under ``basePath``), so opening
-    one month of a lake with years of data does not list every file; the
-    partition columns are still discovered and the equality filter keeps the
-    plan correct if the glob matched more than one spelling.
+    Only that month's folder is read ("month=1" as Spark writes it, or "month=01" as landed by hand);
+    files of it with other physical types are cast to their common type (``mixed.read_months``).  The
+    equality filter keeps the plan correct if both spellings are there.
     """
-    cond = (F.col("year") == year) & (F.col("month") == month)
-    try:
-        df = spark.read.option("basePath", base).parquet(_month_glob(base, year, month))
-    except Exception as e:  # month not landed: an empty month of the lake
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        df = spark.read.parquet(base)
-    return df.where(cond)
+    return read_months(spark, base, [(year, month)]).where((F.col("year") == year) & (F.col("month") == month))
 
 
 def read_demand(spark: SparkSession, base: str, years: list[int] | None = None) -> DataFrame:
