@@ -19,6 +19,7 @@ from ..operators import features as FE
 from ..operators import forecast as FC
 from ..operators import metrics as M
 from ..operators import series as S
+from ..operators import trend as TR
 from ..schemas import PREDICTED_RIDES, RAW_PICKUP, TAXI_RIDES
 from ..session import scratch_path
 from ..sources import lake as L
@@ -241,6 +242,31 @@ def _bsql(body: str) -> str:
     return sql(body, "not_null", extra=_BACKFILL_CTES)
 
 
+#: The names of the one-month oracles over every month of the trips.
+_MONTHS_CTES = {**_BACKFILL_CTES, "filtered": """
+SELECT p.* FROM bprep p JOIN bq q ON p.year = q.year AND p.month = q.month
+WHERE duration > 0 AND duration <= max_duration
+  AND total_amount >= 2.5 AND total_amount <= max_total_amount
+  AND trip_distance > 0 AND trip_distance <= max_distance
+  AND PULocationID NOT IN (1, 264, 265) AND passenger_count >= 1 AND passenger_count <= 5""",
+                "final": CTES["final"][1],
+                "demand": "SELECT pickup_hour, pickup_location_id, rides FROM bdemand",
+                "predictions": CTES["predictions"][1], "pairs": CTES["pairs"][1]}
+
+
+def _msql(body: str, **extra: str) -> str:
+    """``demand``, ``final``, ``predictions`` and ``pairs`` over all months, then ``body``."""
+    return sql(body, "not_null", extra={**_MONTHS_CTES, **extra})
+
+
+def _all_trips(spark, sf):
+    return C.finalize_trips(C.clean_trips(C.assign_landing_month(_trips(spark, sf))), keep_keys=False)
+
+
+def _all_demand(spark, sf):
+    return S.backfill(_trips(spark, sf)).select("pickup_hour", "pickup_location_id", "rides")
+
+
 @register("backfill_demand", _bsql("SELECT * FROM bdemand"))
 def backfill_demand(spark, sf):
     return S.backfill(_trips(spark, sf))
@@ -389,22 +415,22 @@ def conform_demand(spark, sf):
     return SV.conform(dem, TAXI_RIDES)
 
 
-@register("serve_replace", sql("""
+@register("serve_replace", _msql("""
 SELECT CAST(pickup_location_id AS SMALLINT) AS pickup_location_id, prediction_datetime,
        CAST(predicted_rides AS SMALLINT) AS predicted_rides
-FROM predictions""", "predictions"))
+FROM predictions"""))
 def serve_replace(spark, sf):
     path = scratch_path(spark, "served-predictions")
-    pred = fx.predictions(spark, sf)
+    pred = fx.predictions_from_demand(_all_demand(spark, sf))
     SV.serve(pred.where(F.col("predicted_rides") > 0), path, "overwrite", PREDICTED_RIDES)
     SV.serve(pred, path, "overwrite", PREDICTED_RIDES)  # replace, not add
     return SV.read_served(spark, path)
 
 
-@register("serve_append", sql("SELECT * FROM demand", "demand"))
+@register("serve_append", _msql("SELECT * FROM demand"))
 def serve_append(spark, sf):
     path = scratch_path(spark, "served-demand")
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     SV.serve(dem.where(F.col("pickup_hour") < cut), path, "overwrite")
     SV.serve(dem.where(F.col("pickup_hour") >= cut), path, "append")
@@ -424,17 +450,17 @@ def missing_months(spark, sf):
     return L.missing_months(requested, L.landed_months(spark, base))
 
 
-@register("insert_if_absent", sql("""
+@register("insert_if_absent", _msql("""
 SELECT pickup_hour, pickup_location_id, rides FROM demand
 UNION ALL
 SELECT date_trunc('hour', pickup_datetime) AS pickup_hour, dropoff_location_id AS pickup_location_id,
        CAST(count(*) AS INTEGER) AS rides
 FROM final
 WHERE dropoff_location_id NOT IN (SELECT DISTINCT pickup_location_id FROM demand)
-GROUP BY 1, 2""", "demand", "final"))
+GROUP BY 1, 2"""))
 def insert_if_absent(spark, sf):
-    final = _final(spark, sf)
-    target = fx.demand(spark, sf)
+    final = _all_trips(spark, sf)
+    target = _all_demand(spark, sf)
     by_dropoff = (S.hourly_rides(final, keys=[], loc_col="dropoff_location_id")
                   .withColumn("rides", F.col("rides").cast("int")))
     once = SV.insert_if_absent(target, by_dropoff, "pickup_location_id")
@@ -452,10 +478,10 @@ def union_months(spark, sf):
     return SV.union_frames([newer, older])
 
 
-@register("param_query", sql("""
+@register("param_query", _msql("""
 SELECT pickup_hour, pickup_location_id, rides FROM demand
 WHERE pickup_hour BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-31 23:59:59'
-  AND rides >= 1""", "demand"))
+  AND rides >= 1"""))
 def param_query(spark, sf):
     return Q.run_query(
         spark,
@@ -463,58 +489,57 @@ def param_query(spark, sf):
         "WHERE pickup_hour BETWEEN CAST(:start AS TIMESTAMP_NTZ) AND CAST(:end AS TIMESTAMP_NTZ) "
         "AND rides >= :min_rides ORDER BY pickup_hour",
         args={"start": JAN_START, "end": JAN_END, "min_rides": 1},
-        demand=fx.demand(spark, sf))
+        demand=_all_demand(spark, sf))
 
 
-@register("infer_types", sql("""
+@register("infer_types", _msql("""
 SELECT pickup_hour, CAST(pickup_location_id AS BIGINT) AS pickup_location_id,
        CAST(rides AS BIGINT) AS rides
-FROM demand""", "demand"))
+FROM demand"""))
 def infer_types(spark, sf):
-    return TY.infer_column_types(TY.to_text(fx.demand(spark, sf)))
+    return TY.infer_column_types(TY.to_text(_all_demand(spark, sf)))
 
 
-@register("infer_types_trips", sql("""
+@register("infer_types_trips", _msql("""
 SELECT pickup_datetime, dropoff_datetime,
        CAST(pickup_location_id AS BIGINT) AS pickup_location_id,
        CAST(dropoff_location_id AS BIGINT) AS dropoff_location_id,
        trip_distance, fare_amount, tip_amount,
        CAST(payment_type AS BIGINT) AS payment_type,
        CAST(passenger_count AS BIGINT) AS passenger_count
-FROM final""", "final"))
+FROM final"""))
 def infer_types_trips(spark, sf):
-    return TY.infer_column_types(TY.to_text(_final(spark, sf)))
+    return TY.infer_column_types(TY.to_text(_all_trips(spark, sf)))
 
 
-@register("typed_result", sql("SELECT * FROM demand", "demand"))
+@register("typed_result", _msql("SELECT * FROM demand"))
 def typed_result(spark, sf):
-    text = TY.to_text(fx.demand(spark, sf))
+    text = TY.to_text(_all_demand(spark, sf))
     return TY.typed_result(text, {"pickup_hour": "timestamp_ntz", "pickup_location_id": "int",
                                   "rides": "int"})
 
 
 # ------------------------------------------------------------ served queries (D1-D3, A7, A10-A12, O3, X)
-@register("demand_between", sql(f"""
+@register("demand_between", _msql(f"""
 SELECT * FROM demand
-WHERE pickup_hour BETWEEN TIMESTAMP '{JAN_START}' AND TIMESTAMP '{JAN_END}'""", "demand"))
+WHERE pickup_hour BETWEEN TIMESTAMP '{JAN_START}' AND TIMESTAMP '{JAN_END}'"""))
 def demand_between(spark, sf):
-    return Q.demand_range(fx.demand(spark, sf), JAN_START, JAN_END)
+    return Q.demand_range(_all_demand(spark, sf), JAN_START, JAN_END)
 
 
-@register("location_week_actual", sql(f"""
+@register("location_week_actual", _msql(f"""
 SELECT DISTINCT pickup_location_id, pickup_hour, rides FROM demand
-WHERE pickup_hour BETWEEN TIMESTAMP '{WEEK_START}' AND TIMESTAMP '{WEEK_END}'""", "demand"))
+WHERE pickup_hour BETWEEN TIMESTAMP '{WEEK_START}' AND TIMESTAMP '{WEEK_END}'"""))
 def location_week_actual(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     return Q.location_week(dem, fx.predictions_from_demand(dem), fx.WEEK_ANCHOR_UTC)[0]
 
 
-@register("location_week_predicted", sql(f"""
+@register("location_week_predicted", _msql(f"""
 SELECT DISTINCT pickup_location_id, prediction_datetime, predicted_rides FROM predictions
-WHERE prediction_datetime BETWEEN TIMESTAMP '{WEEK_START}' AND TIMESTAMP '{WEEK_END}'""",
-                                         "predictions"))
+WHERE prediction_datetime BETWEEN TIMESTAMP '{WEEK_START}' AND TIMESTAMP '{WEEK_END}'"""))
 def location_week_predicted(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     return Q.location_week(dem, fx.predictions_from_demand(dem), fx.WEEK_ANCHOR_UTC)[1]
 
 
@@ -536,37 +561,37 @@ def week_window(spark, sf):
                                     start.alias("window_start"), end.alias("window_end"))
 
 
-@register("format_hour", sql("""
+@register("format_hour", _msql("""
 SELECT pickup_location_id, strftime(pickup_hour, '%Y-%m-%d %H:%M:%S') AS pickup_hour_text
-FROM demand""", "demand"))
+FROM demand"""))
 def format_hour_q(spark, sf):
-    return fx.demand(spark, sf).select("pickup_location_id",
+    return _all_demand(spark, sf).select("pickup_location_id",
                                        format_hour("pickup_hour").alias("pickup_hour_text"))
 
 
-@register("location_series", sql("""
+@register("location_series", _msql("""
 SELECT pickup_location_id, strftime(pickup_hour, '%Y-%m-%d %H:%M:%S') AS pickup_hour, rides
-FROM demand""", "demand"))
+FROM demand"""))
 def location_series(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     return Q.location_series(dem, fx.predictions_from_demand(dem))[0]
 
 
-@register("location_series_predicted", sql("""
+@register("location_series_predicted", _msql("""
 SELECT pickup_location_id,
        strftime(prediction_datetime, '%Y-%m-%d %H:%M:%S') AS prediction_datetime, predicted_rides
-FROM predictions""", "predictions"))
+FROM predictions"""))
 def location_series_predicted(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     return Q.location_series(dem, fx.predictions_from_demand(dem))[1]
 
 
-@register("location_summary", sql("""
+@register("location_summary", _msql("""
 SELECT pickup_location_id, count(*) AS n_rows, min(pickup_hour) AS first_hour,
        max(pickup_hour) AS last_hour, CAST(sum(rides) AS BIGINT) AS total_rides
-FROM demand GROUP BY pickup_location_id""", "demand"))
+FROM demand GROUP BY pickup_location_id"""))
 def location_summary(spark, sf):
-    return Q.location_summary(fx.demand(spark, sf))
+    return Q.location_summary(_all_demand(spark, sf))
 
 
 _PROFILE_TYPES = [("tpep_pickup_datetime", "timestamp_ntz"), ("tpep_dropoff_datetime", "timestamp_ntz"),
@@ -582,36 +607,35 @@ def column_profile(spark, sf):
     return Q.column_profile(_trips(spark, sf))
 
 
-@register("first_locations", sql("""
-SELECT DISTINCT pickup_location_id FROM demand ORDER BY pickup_location_id LIMIT 10""", "demand"))
+@register("first_locations", _msql("""
+SELECT DISTINCT pickup_location_id FROM demand ORDER BY pickup_location_id LIMIT 10"""))
 def first_locations(spark, sf):
-    return Q.first_locations(fx.demand(spark, sf), 10)
+    return Q.first_locations(_all_demand(spark, sf), 10)
 
 
-@register("demand_by_band", sql("""
+@register("demand_by_band", _msql("""
 SELECT pickup_location_id,
        CASE WHEN hour(pickup_hour) BETWEEN 7 AND 9 OR hour(pickup_hour) BETWEEN 16 AND 18 THEN 'peak'
             WHEN hour(pickup_hour) BETWEEN 0 AND 5 THEN 'night' ELSE 'regular' END AS hour_band,
        count(*) AS n_hours, CAST(sum(rides) AS BIGINT) AS total_rides
-FROM demand GROUP BY 1, 2""", "demand"))
+FROM demand GROUP BY 1, 2"""))
 def demand_by_band(spark, sf):
-    return Q.demand_by_band(fx.demand(spark, sf))
+    return Q.demand_by_band(_all_demand(spark, sf))
 
 
 # ------------------------------------------------------------ accuracy
-@register("actual_vs_predicted", sql("SELECT * FROM pairs", "pairs"))
+@register("actual_vs_predicted", _msql("SELECT * FROM pairs"))
 def actual_vs_predicted(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     return M.actual_vs_predicted(dem, fx.predictions_from_demand(dem))
 
 
-@register("location_names", sql("""
+@register("location_names", _msql("""
 SELECT p.*, n.location_name FROM pairs p LEFT JOIN
   (VALUES (43, 'Lower East Side'), (74, 'East Harlem'), (132, 'JFK Airport'))
-  AS n(pickup_location_id, location_name) ON p.pickup_location_id = n.pickup_location_id""",
-                                "pairs"))
+  AS n(pickup_location_id, location_name) ON p.pickup_location_id = n.pickup_location_id"""))
 def location_names(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     return M.compare(dem, fx.predictions_from_demand(dem))
 
 
@@ -620,24 +644,23 @@ _METRICS = """round(avg(abs(rides - predicted_rides)), 4) AS mae,
        count(*) AS n_pairs"""
 
 
-@register("forecast_metrics", sql(f"SELECT {_METRICS} FROM pairs", "pairs"))
+@register("forecast_metrics", _msql(f"SELECT {_METRICS} FROM pairs"))
 def forecast_metrics(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     pairs = M.actual_vs_predicted(dem, fx.predictions_from_demand(dem))
     return _round(M.forecast_metrics(pairs), ["mae", "mape"])
 
 
 @register("forecast_metrics_by_location",
-          sql(f"SELECT pickup_location_id, {_METRICS} FROM pairs GROUP BY pickup_location_id",
-              "pairs"))
+          _msql(f"SELECT pickup_location_id, {_METRICS} FROM pairs GROUP BY pickup_location_id"))
 def forecast_metrics_by_location(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     pairs = M.actual_vs_predicted(dem, fx.predictions_from_demand(dem))
     return _round(M.forecast_metrics(pairs, ["pickup_location_id"]), ["mae", "mape"])
 
 
 # ------------------------------------------------------------ model features (M1-M3)
-@register("lag_features", sql("""
+@register("lag_features", _msql("""
 SELECT d.pickup_hour, d.pickup_location_id, d.rides,
        l1.rides AS lag_1, l24.rides AS lag_24, l168.rides AS lag_168
 FROM demand d
@@ -646,9 +669,9 @@ LEFT JOIN demand l1 ON l1.pickup_location_id = d.pickup_location_id
 LEFT JOIN demand l24 ON l24.pickup_location_id = d.pickup_location_id
                     AND l24.pickup_hour = d.pickup_hour - INTERVAL 24 HOUR
 LEFT JOIN demand l168 ON l168.pickup_location_id = d.pickup_location_id
-                     AND l168.pickup_hour = d.pickup_hour - INTERVAL 168 HOUR""", "demand"))
+                     AND l168.pickup_hour = d.pickup_hour - INTERVAL 168 HOUR"""))
 def lag_features(spark, sf):
-    return FE.lag_features(fx.demand(spark, sf))
+    return FE.lag_features(_all_demand(spark, sf))
 
 
 def _fourier_sql() -> str:
@@ -662,29 +685,29 @@ SELECT pickup_location_id, {p} AS period_hours,
        round(sqrt(pow(sum(rides * cos({ang})), 2) + pow(sum(rides * sin({ang})), 2)) * 2
              / count(*), 4) + CAST(0 AS DOUBLE) AS amplitude
 FROM demand GROUP BY pickup_location_id""")
-    return sql(" UNION ALL ".join(parts), "demand")
+    return _msql(" UNION ALL ".join(parts))
 
 
 @register("fourier_features", _fourier_sql())
 def fourier_features(spark, sf):
-    return FE.fourier_features(fx.demand(spark, sf))
+    return FE.fourier_features(_all_demand(spark, sf))
 
 
 @register("demand_forecast")  # model output: rows-only check
 def demand_forecast(spark, sf):
-    return FC.demand_forecast(fx.demand(spark, sf), FORECAST_SPLIT)
+    return FC.demand_forecast(_all_demand(spark, sf), FORECAST_SPLIT)
 
 
-@register("demand_forecast_keys", sql(f"""
+@register("demand_forecast_keys", _msql(f"""
 SELECT pickup_location_id, pickup_hour AS prediction_datetime FROM demand
-WHERE pickup_hour >= TIMESTAMP '{FORECAST_SPLIT}'""", "demand"))
+WHERE pickup_hour >= TIMESTAMP '{FORECAST_SPLIT}'"""))
 def demand_forecast_keys(spark, sf):
-    return FC.demand_forecast(fx.demand(spark, sf), FORECAST_SPLIT).select("pickup_location_id", "prediction_datetime")
+    return FC.demand_forecast(_all_demand(spark, sf), FORECAST_SPLIT).select("pickup_location_id", "prediction_datetime")
 
 
 @register("forecast_accuracy")  # the model scored by the metrics operator: rows-only check
 def forecast_accuracy(spark, sf):
-    dem = fx.demand(spark, sf)
+    dem = _all_demand(spark, sf)
     pred = FC.demand_forecast(dem, FORECAST_SPLIT)
     return M.forecast_metrics(M.actual_vs_predicted(dem, pred), ["pickup_location_id"])
 
@@ -709,134 +732,125 @@ def clean_stats_report(spark, sf):
     return C.stats_report(C.clean_stats(_trips(spark, sf), Y, MO))
 
 
-@register("named_table_scan", sql("SELECT pickup_hour, pickup_location_id, rides FROM demand",
-                                  "demand"))
+@register("named_table_scan", _msql("SELECT pickup_hour, pickup_location_id, rides FROM demand"))
 def named_table_scan(spark, sf):
     path = scratch_path(spark, "named-demand")
-    SV.serve(fx.demand(spark, sf), path)
+    SV.serve(_all_demand(spark, sf), path)
     name = "taxi_rides_" + path.rsplit("-", 1)[-1]
     SV.register_table(spark, name, path)
     return spark.table(name).select("pickup_hour", "pickup_location_id", "rides")
 
 
-@register("row_counts", sql("""
+@register("row_counts", _msql("""
 SELECT count(*) AS n_rows,
        count(*) FILTER (WHERE pickup_location_id = 43) AS n_rows_43,
        count(*) FILTER (WHERE pickup_location_id = 74) AS n_rows_74,
        count(*) FILTER (WHERE pickup_location_id = 132) AS n_rows_132
-FROM demand""", "demand"))
+FROM demand"""))
 def row_counts(spark, sf):
     from ..schemas import LOCATION_NAMES
-    return Q.row_counts(fx.demand(spark, sf), sorted(LOCATION_NAMES))
-
-
-# ------------------------------------------------------------ the same operators over all months
-# The queries above feed these operators the 2024-01 series; ``<name>_all_months`` feeds them every
-# month of the trips, so that lags, metrics and summaries cross month edges.
-_MONTHS_CTES = {**_BACKFILL_CTES, "filtered": """
-SELECT p.* FROM bprep p JOIN bq q ON p.year = q.year AND p.month = q.month
-WHERE duration > 0 AND duration <= max_duration
-  AND total_amount >= 2.5 AND total_amount <= max_total_amount
-  AND trip_distance > 0 AND trip_distance <= max_distance
-  AND PULocationID NOT IN (1, 264, 265) AND passenger_count >= 1 AND passenger_count <= 5""",
-                "final": CTES["final"][1],
-                "demand": "SELECT pickup_hour, pickup_location_id, rides FROM bdemand",
-                "predictions": CTES["predictions"][1], "pairs": CTES["pairs"][1]}
-
-
-def _months_sql(name: str) -> str:
-    """The query's own oracle body over the series and the cleaned trips of all months."""
-    heads = [sql("", *needs).rstrip() for needs in (("demand",), ("final",), ("demand", "final"), ("predictions",),
-                                                    ("pairs",))]
-    head = max((h for h in heads if ORACLE[name].startswith(f"{h}\n")), key=len)
-    return sql(ORACLE[name][len(head):], "not_null", extra=_MONTHS_CTES)
-
-
-def _all_trips(spark, sf):
-    return C.finalize_trips(C.clean_trips(C.assign_landing_month(_trips(spark, sf))), keep_keys=False)
-
-
-def _all_demand(spark, sf):
-    return S.backfill(_trips(spark, sf)).select("pickup_hour", "pickup_location_id", "rides")
+    return Q.row_counts(_all_demand(spark, sf), sorted(LOCATION_NAMES))
+
+
+# ------------------------------------------------------------ trend model, rolling origins (M3)
+TREND = TR.TrendModel()
+#: Three weekly cutoffs, a week ahead each.
+FIRST_CUTOFF, EVERY, ORIGINS, AHEAD = "2024-01-08 00:00:00", 168, 3, 168
+
+
+def _trend_ctes(cutoffs: str) -> dict[str, str]:
+    """``ends``, ``terms`` (a row's terms as a list) and ``coefs`` (by elimination, one column a step)."""
+    hour = "CAST(floor(epoch(d.pickup_hour) / 3600) AS BIGINT)"
+    terms = ["1.0", "u"] + [f"greatest(0, u - {s!r})" for s in TREND.bend_points]
+    for period, n in TREND.seasons:
+        for k in range(1, n + 1):
+            angle = f"2 * pi() * (h * {k} % {period}) / {period}"
+            terms += [f"cos({angle})", f"sin({angle})"]
+    p = len(terms)
+    penalty = " ".join(f"WHEN {i + 1} THEN {v!r}" for i, v in enumerate(TREND.penalties))
+    return {
+        "ends": cutoffs,
+        "scale": """SELECT CAST(floor(epoch(min(pickup_hour)) / 3600) AS BIGINT) AS h0,
+  (SELECT CAST(floor(epoch(max(cutoff)) / 3600) AS BIGINT) FROM ends) AS h1 FROM demand""",
+        "terms": f"""SELECT pickup_location_id, pickup_hour, rides,
+  list_transform([{", ".join(terms)}], lambda x: CAST(x AS DOUBLE)) AS x
+FROM (SELECT d.*, {hour} AS h, ({hour} - h0) / greatest(1, h1 - h0) AS u FROM demand d, scale)""",
+        "gram": f"""SELECT pickup_location_id AS loc, cutoff, i, j,
+  sum(x[i] * CASE WHEN j = {p + 1} THEN rides ELSE x[j] END) + CASE WHEN i = j THEN CASE i {penalty} END ELSE 0 END AS v
+FROM terms JOIN ends ON pickup_hour < cutoff, range(1, {p + 1}) a(i), range(1, {p + 2}) b(j) GROUP BY loc, cutoff, i, j""",
+        "steps": f"""SELECT loc, cutoff, i, j, v, 1 AS s FROM gram
+UNION ALL
+SELECT loc, cutoff, i, j, CASE WHEN i = s THEN v / pv ELSE v - f * r / pv END, s + 1 FROM (
+  SELECT *, max(CASE WHEN i = s AND j = s THEN v END) OVER (PARTITION BY loc, cutoff) AS pv,
+    max(CASE WHEN i = s THEN v END) OVER (PARTITION BY loc, cutoff, j) AS r,
+    max(CASE WHEN j = s THEN v END) OVER (PARTITION BY loc, cutoff, i) AS f FROM steps)
+WHERE s <= {p}""",
+        "coefs": f"SELECT loc, cutoff, i, v AS coef FROM steps WHERE s = {p + 1} AND j = {p + 1}",
+    }
 
 
-def _pairs(dem):
-    return M.actual_vs_predicted(dem, fx.predictions_from_demand(dem))
+def _trend_sql(body: str, cutoffs: str) -> str:
+    return _msql(body, **_trend_ctes(cutoffs)).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-def _replaced(dem):
-    pred, path = fx.predictions_from_demand(dem), scratch_path(dem.sparkSession, "served-predictions")
-    SV.serve(pred.where(F.col("predicted_rides") > 0), path, "overwrite", PREDICTED_RIDES)
-    SV.serve(pred, path, "overwrite", PREDICTED_RIDES)
-    return SV.read_served(dem.sparkSession, path)
+_SPLIT = f"SELECT TIMESTAMP '{FORECAST_SPLIT}' AS cutoff"
+_ORIGINS = f"""SELECT TIMESTAMP '{FIRST_CUTOFF}' + INTERVAL 1 HOUR * ({EVERY} * i) AS cutoff
+FROM range({ORIGINS}) r(i)"""
 
 
-def _appended(dem):
-    path, cut = scratch_path(dem.sparkSession, "served-demand"), F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    SV.serve(dem.where(F.col("pickup_hour") < cut), path, "overwrite")
-    SV.serve(dem.where(F.col("pickup_hour") >= cut), path, "append")
-    return SV.read_served(dem.sparkSession, path)
+def _cutoffs(spark):
+    return TR.cutoffs(spark, FIRST_CUTOFF, EVERY, ORIGINS)
 
 
-def _named(dem):
-    path = scratch_path(dem.sparkSession, "named-demand")
-    SV.serve(dem, path)
-    name = "taxi_rides_" + path.rsplit("-", 1)[-1]
-    SV.register_table(dem.sparkSession, name, path)
-    return dem.sparkSession.table(name).select("pickup_hour", "pickup_location_id", "rides")
+@register("trend_coefficients", _trend_sql(
+    "SELECT loc AS pickup_location_id, cutoff, CASE i "
+    + " ".join(f"WHEN {i + 1} THEN '{t}'" for i, t in enumerate(TREND.terms))
+    + " END AS term, round(coef, 4) + CAST(0 AS DOUBLE) AS coef FROM coefs", _ORIGINS))
+def trend_coefficients(spark, sf):
+    """The fits of all cutoffs, from one pass over the series."""
+    fitted = TR.coefficients(TR.fit(_all_demand(spark, sf), _cutoffs(spark), TREND), TREND)
+    return fitted.withColumn("coef", F.round("coef", 4) + F.lit(0.0))
 
 
-def _absent(final, dem):
-    by_dropoff = (S.hourly_rides(final, keys=[], loc_col="dropoff_location_id")
-                  .withColumn("rides", F.col("rides").cast("int")))
-    once = SV.insert_if_absent(dem, by_dropoff, "pickup_location_id")
-    return SV.insert_if_absent(once, by_dropoff, "pickup_location_id")
+@register("trend_forecast", _trend_sql("""
+SELECT pickup_location_id, pickup_hour AS prediction_datetime,
+  CAST(greatest(0, round(estimate)) AS INTEGER) AS predicted_rides, round(estimate, 4) + CAST(0 AS DOUBLE) AS estimate
+FROM (SELECT pickup_location_id, pickup_hour, sum(x[i] * coef) AS estimate FROM terms
+  JOIN ends ON pickup_hour >= cutoff JOIN coefs ON loc = pickup_location_id GROUP BY pickup_location_id, pickup_hour)""", _SPLIT))
+def trend_forecast(spark, sf):
+    out = TR.trend_forecast(_all_demand(spark, sf), FORECAST_SPLIT, TREND)
+    return out.withColumn("estimate", F.round("estimate", 4) + F.lit(0.0))
 
 
-def _counted(dem):
-    from ..schemas import LOCATION_NAMES
-    return Q.row_counts(dem, sorted(LOCATION_NAMES))
-
-
-_OVER_MONTHS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "lag_features": FE.lag_features,
-    "fourier_features": FE.fourier_features,
-    "location_summary": Q.location_summary,
-    "demand_by_band": Q.demand_by_band,
-    "row_counts": _counted,
-    "first_locations": lambda dem: Q.first_locations(dem, 10),
-    "location_series": lambda dem: Q.location_series(dem, fx.predictions_from_demand(dem))[0],
-    "location_series_predicted": lambda dem: Q.location_series(dem, fx.predictions_from_demand(dem))[1],
-    "format_hour": lambda dem: dem.select("pickup_location_id", format_hour("pickup_hour").alias("pickup_hour_text")),
-    "actual_vs_predicted": _pairs,
-    "location_names": lambda dem: M.compare(dem, fx.predictions_from_demand(dem)),
-    "forecast_metrics": lambda dem: _round(M.forecast_metrics(_pairs(dem)), ["mae", "mape"]),
-    "forecast_metrics_by_location": lambda dem: _round(
-        M.forecast_metrics(_pairs(dem), ["pickup_location_id"]), ["mae", "mape"]),
-    "demand_forecast_keys": lambda dem: FC.demand_forecast(dem, FORECAST_SPLIT).select(
-        "pickup_location_id", "prediction_datetime"),
-    "infer_types": lambda dem: TY.infer_column_types(TY.to_text(dem)),
-    "typed_result": lambda dem: TY.typed_result(TY.to_text(dem), {
-        "pickup_hour": "timestamp_ntz", "pickup_location_id": "int", "rides": "int"}),
-    "serve_append": _appended,
-    "serve_replace": _replaced,
-    "named_table_scan": _named,
-}
+_HORIZONS = f"""SELECT d.*, cutoff, CAST(date_diff('hour', cutoff, pickup_hour) + 1 AS INTEGER) AS horizon
+FROM demand d JOIN ends ON pickup_hour >= cutoff AND pickup_hour < cutoff + INTERVAL {AHEAD} HOUR"""
+_BY_HORIZON = """SELECT CAST((horizon - 1) // 24 + 1 AS INTEGER) AS horizon_unit,
+  round(avg(abs(rides - predicted_rides)), 4) AS mae,
+  round(avg(CASE WHEN rides > 0 THEN abs(rides - predicted_rides) / rides END) * 100, 4) AS mape, count(*) AS n_pairs
+FROM hits GROUP BY 1"""
 
 
-def _over_months(of):
-    return lambda spark, sf: of(_all_demand(spark, sf))
+@register("rolling_origin_keys", _msql(
+    "SELECT pickup_location_id, pickup_hour, cutoff, horizon, rides FROM hor", ends=_ORIGINS, hor=_HORIZONS))
+def rolling_origin_keys(spark, sf):
+    return TR.horizons(_all_demand(spark, sf), _cutoffs(spark), AHEAD).select(
+        "pickup_location_id", "pickup_hour", "cutoff", "horizon", "rides")
 
 
-for _name, _of in _OVER_MONTHS.items():
-    register(f"{_name}_all_months", _months_sql(_name))(_over_months(_of))
-
-
-@register("infer_types_trips_all_months", _months_sql("infer_types_trips"))
-def infer_types_trips_all_months(spark, sf):
-    return TY.infer_column_types(TY.to_text(_all_trips(spark, sf)))
+@register("rolling_seasonal_naive", _msql(_BY_HORIZON, ends=_ORIGINS, hor=_HORIZONS, hits="""
+SELECT hor.*, k.rides AS predicted_rides FROM hor JOIN demand k ON k.pickup_location_id = hor.pickup_location_id
+  AND k.pickup_hour = hor.pickup_hour - INTERVAL 1 HOUR * (((horizon - 1) // 168 + 1) * 168)"""))
+def rolling_seasonal_naive(spark, sf):
+    dem = _all_demand(spark, sf)
+    pairs = TR.seasonal_naive(TR.horizons(dem, _cutoffs(spark), AHEAD), dem)
+    return _round(TR.errors_by_horizon(pairs), ["mae", "mape"])
 
 
-@register("insert_if_absent_all_months", _months_sql("insert_if_absent"))
-def insert_if_absent_all_months(spark, sf):
-    return _absent(_all_trips(spark, sf), _all_demand(spark, sf))
+@register("rolling_trend", _msql(_BY_HORIZON, **_trend_ctes(_ORIGINS), hor=_HORIZONS, hits="""
+SELECT hor.cutoff, hor.pickup_hour, hor.pickup_location_id, any_value(horizon) AS horizon, any_value(hor.rides) AS rides,
+  greatest(0, round(sum(x[i] * coef))) AS predicted_rides
+FROM hor JOIN terms USING (pickup_location_id, pickup_hour) JOIN coefs c
+  ON c.loc = hor.pickup_location_id AND c.cutoff = hor.cutoff GROUP BY ALL""").replace("WITH ", "WITH RECURSIVE ", 1))
+def rolling_trend(spark, sf):
+    pairs = TR.rolling_trend(_all_demand(spark, sf), _cutoffs(spark), AHEAD, TREND)
+    return _round(TR.errors_by_horizon(pairs), ["mae", "mape"])
