@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_seconds, month_start, next_month_start
 from ..schemas import (EXCLUDED_LOCATIONS, MAX_PASSENGERS, MIN_PASSENGERS, MIN_TOTAL_AMOUNT,
                        QUANTILE_REL_ERR, RAW_DO, RAW_DROPOFF, RAW_PICKUP, RAW_PU,
                        REQUIRED_COLUMNS, UPPER_QUANTILE)
+from .quantiles import exact_quantiles
 
 KEYS = ["year", "month"]
 # Column -> name of its upper bound.
@@ -165,61 +166,17 @@ def upper_bounds(df: DataFrame, p: float = UPPER_QUANTILE, rel_err: float = QUAN
 
 def exact_quantile(df: DataFrame, value: Column | str, p: float, keys: list[str],
                    name: str = "quantile") -> DataFrame:
-    """Exact p-quantile per key group (linear interpolation, as ``percentile``).
-
-    Distributed rank selection; no task ever holds a whole group:
-      1. pre-aggregate rows into a (keys, value) -> count histogram;
-      2. range-partition the histogram by (keys, value) and checkpoint it, so
-         each partition is a contiguous value range with a stable id;
-      3. per (keys, partition) totals — one row per partition — give each
-         partition the number of rows below it (a window over that small table);
-      4. running sums inside each range partition + that offset = global ranks;
-      5. the values at ranks floor / ceil of p * (n - 1) are interpolated.
-    """
-    from ..session import reliable_checkpoint
-    v = F.col(value) if isinstance(value, str) else value
-    hist = (df.where(v.isNotNull() & ~F.isnan(v))
-            .groupBy(*keys, v.cast("double").alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = reliable_checkpoint(hist.repartitionByRange(n_parts, *keys, "v")
-                                 .withColumn("pid", F.spark_partition_id()))
-    parts = ranged.groupBy(*keys, "pid").agg(F.sum("cnt").alias("part_n"),
-                                             F.min("v").alias("part_lo"))
-    in_group = Window.partitionBy(*keys)
-    parts = (parts
-             .withColumn("before", F.coalesce(F.sum("part_n").over(
-                 in_group.orderBy("part_lo").rowsBetween(Window.unboundedPreceding, -1)),
-                 F.lit(0)))
-             .withColumn("n", F.sum("part_n").over(in_group))
-             .select(*keys, "pid", "before", "n"))
-    in_part = Window.partitionBy(*keys, "pid").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    # parts has one row per (group, range partition): a size-bounded broadcast
-    ranked = (ranged.withColumn("cum_in", F.sum("cnt").over(in_part))
-              .join(F.broadcast(parts), [*keys, "pid"])
-              .withColumn("cum", F.col("before") + F.col("cum_in")))
-    pos = F.lit(p) * (F.col("n") - 1)
-    picked = ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("cum") > F.floor(pos), F.col("v"))).alias("v_lo"),
-        F.min(F.when(F.col("cum") > F.ceil(pos), F.col("v"))).alias("v_hi"),
-        F.first(pos - F.floor(pos)).alias("frac"))
-    return picked.select(*keys, (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
-                         .alias(name))
+    """Exact p-quantile per key group (linear interpolation, as ``percentile``), by bracketing its ranks."""
+    return exact_quantiles(df, {name: value}, p, keys).where(F.col(name).isNotNull())
 
 
 def upper_bounds_exact(df: DataFrame, p: float = UPPER_QUANTILE,
                        keys: list[str] = KEYS) -> DataFrame:
     """Exact p-quantile of duration, amount and distance per landing month.
 
-    The three columns are stacked into (metric, value) pairs so one scan and one
-    histogram serve all of them; the result is pivoted back to one row per month.
+    The three measures are bracketed side by side (``quantiles.exact_quantiles``): no shuffle carries the trips.
     """
-    stacked = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(b).alias("metric"), F.col(c).cast("double").alias("x"))
-        for c, b in BOUNDED.items()])).alias("m")).select(*keys, "m.metric", "m.x")
-    q = exact_quantile(stacked, "x", p, [*keys, "metric"], "q")
-    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == b, F.col("q"))).alias(b)
-                                  for b in BOUNDED.values()])
+    return exact_quantiles(df, {b: c for c, b in BOUNDED.items()}, p, keys)
 
 
 def _prepared(df: DataFrame, year: int | None, month: int | None) -> DataFrame:

@@ -18,6 +18,7 @@ from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import forecast as FC
 from ..operators import metrics as M
+from ..operators import quantiles as QN
 from ..operators import series as S
 from ..operators import trend as TR
 from ..schemas import PREDICTED_RIDES, RAW_PICKUP, TAXI_RIDES
@@ -37,6 +38,7 @@ JAN_START, JAN_END = "2024-01-01 00:00:00", "2024-01-31 23:59:59"
 # Fixed anchor -> window 2024-01-13 10:00 .. 2024-01-20 11:00 (New York wall clock).
 WEEK_START, WEEK_END = "2024-01-13 10:00:00", "2024-01-20 11:00:00"
 FORECAST_SPLIT = "2024-01-24 00:00:00"
+SKETCH_P, SKETCH_ERROR = 0.95, 0.001
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -318,6 +320,39 @@ def backfill_stats(spark, sf):
     return C.clean_stats(C.assign_landing_month(_trips(spark, sf)))
 
 
+@register("upper_bounds_exact_months", _bsql("""
+SELECT year, month, quantile_cont(CAST(duration AS DOUBLE), 0.99) AS max_duration,
+       quantile_cont(total_amount, 0.99) FILTER (WHERE NOT isnan(total_amount)) AS max_total_amount,
+       quantile_cont(trip_distance, 0.99) FILTER (WHERE NOT isnan(trip_distance)) AS max_distance
+FROM bprep GROUP BY year, month"""))
+def upper_bounds_exact_months(spark, sf):
+    """Exact bounds of every landing month, bracketed in the same passes."""
+    return C.upper_bounds_exact(C._prepared(C.assign_landing_month(_trips(spark, sf)), None, None), p=0.99)
+
+
+_MEASURES = "(VALUES ('max_duration', CAST(duration AS DOUBLE)), ('max_total_amount', total_amount), ('max_distance', trip_distance))"
+
+
+@register("upper_bounds_sketch", _bsql(f"""
+SELECT g.year, measure, count(v) AS n, true AS within_error
+FROM (SELECT * FROM bprep, (SELECT NULL AS y UNION ALL SELECT 1) s(y)) b,
+  LATERAL (SELECT CASE WHEN b.y IS NULL THEN NULL ELSE b.year END AS year) g, LATERAL {_MEASURES} m(measure, v)
+WHERE NOT isnan(v) GROUP BY g.year, measure"""))
+def upper_bounds_sketch(spark, sf):
+    """Months' stored sketches, merged per year and over all (null year) without the trips; then judged by the trips."""
+    path = scratch_path(spark, "month-sketches")
+    prepared = C._prepared(C.assign_landing_month(_trips(spark, sf)), None, None)
+    measures = {b: c for c, b in C.BOUNDED.items()}
+    L.write_partitioned(QN.month_sketches(prepared, measures, C.KEYS, SKETCH_ERROR), path)
+    stored = spark.read.parquet(path)
+    parts = []
+    for by in (["year"], []):
+        bounds = QN.merged_quantiles(stored, list(measures), SKETCH_P, by)
+        parts.append(QN.rank_errors(prepared, measures, bounds, SKETCH_P, by))
+    judged = parts[0].unionByName(parts[1].withColumn("year", F.lit(None).cast("int")))
+    return judged.select("year", "measure", "n", (F.col("rank_error") <= SKETCH_ERROR).alias("within_error"))
+
+
 _SERVED_DEMAND = _bsql("""
 SELECT CAST(pickup_hour AS TIMESTAMP) AS pickup_hour,
        CAST(pickup_location_id AS SMALLINT) AS pickup_location_id,
