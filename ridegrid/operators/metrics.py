@@ -63,3 +63,40 @@ def forecast_metrics(pairs: DataFrame, by: list[str] | None = None) -> DataFrame
 def compare(actual: DataFrame, predicted: DataFrame, location: int | None = None) -> DataFrame:
     """Merged series ready to plot, with the location name."""
     return with_location_names(actual_vs_predicted(actual, predicted, location))
+
+
+# ------------------------------------------------------------ sums that merge and can be withdrawn
+SUMS = ("n_pairs", "abs_error", "n_positive", "relative_error")
+
+
+def metric_sums(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """The sums behind MAE and MAPE per group (a month, a month and location, ...).
+
+    Relative errors are summed as decimals, so that adding a group's sums and taking them away again leaves
+    nothing behind.
+    """
+    err = F.abs(F.col("rides") - F.col("predicted_rides"))
+    share = F.when(F.col("rides") > 0, (err / F.col("rides")).cast("decimal(24,12)"))
+    return pairs.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.sum(err.cast("long")).alias("abs_error"), F.count(share).alias("n_positive"),
+        F.coalesce(F.sum(share), F.lit(0)).cast("decimal(38,12)").alias("relative_error"))
+
+
+def merged_sums(parts: list[tuple[DataFrame, int]], by: list[str]) -> DataFrame:
+    """Sums of all parts, each added (1) or withdrawn (-1), per group of ``by``; groups without pairs vanish."""
+    signed = None
+    for part, sign in parts:
+        one = part.select(*by, *[(F.col(c) * sign).alias(c) for c in SUMS])
+        signed = one if signed is None else signed.unionByName(one)
+    out = signed.groupBy(*by).agg(*[F.sum(c).alias(c) for c in SUMS])
+    return out.select(*by, *[F.col(c).cast("decimal(38,12)" if c == "relative_error" else "long").alias(c) for c in SUMS]).where(
+        "n_pairs <> 0")
+
+
+def metrics_of_sums(sums: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """MAE, MAPE and pairs from stored sums, merged over all groups but ``by``."""
+    total = {c: F.sum(c) for c in SUMS}
+    return sums.groupBy(*(by or [])).agg(
+        (total["abs_error"] / total["n_pairs"]).alias("mae"),
+        F.when(total["n_positive"] > 0, total["relative_error"].cast("double") / total["n_positive"] * 100).alias("mape"),
+        F.coalesce(total["n_pairs"], F.lit(0)).alias("n_pairs"))

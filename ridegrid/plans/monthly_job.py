@@ -19,6 +19,7 @@ from ..operators.series import hourly_demand
 from ..schemas import RAW_TYPES
 from ..session import reliable_checkpoint
 from ..sources.lake import drop_stale_months, read_trips, write_clean_trips, write_demand
+from ..sources.manifest import changed_months, month_states, record, recorded_states
 from ..sources.mixed import read_months
 
 STATS_SCHEMA = ("year int, month int, total_records bigint, valid_records bigint, "
@@ -120,3 +121,23 @@ def run_backfill(spark: SparkSession, raw_base: str, clean_base: str, demand_bas
     write_demand(hourly_demand(cleaned, KEYS), demand_base)
     drop_stale_months(spark, demand_base, written)
     return stats
+
+
+def run_changed(spark: SparkSession, raw_base: str, clean_base: str, demand_base: str, manifest: str,
+                rel_err: float = 0.01, stats_base: str | None = None) -> list[tuple[int, int, str]]:
+    """Rebuild the months whose landed files differ from those of the last run; returns (year, month, change).
+
+    Fingerprints are taken before the build and recorded after it, so a file that lands meanwhile, or a run that
+    fails, makes the month due again.  A removed month loses its output.
+    """
+    now = reliable_checkpoint(month_states(spark, raw_base), "month-states")
+    found = changed_months(now, recorded_states(spark, manifest)).orderBy(*KEYS).collect()  # a row per changed month
+    changes = [(r["year"], r["month"], r["change"]) for r in found]
+    gone = {(y, m): False for y, m, change in changes if change == "removed"}
+    due = [(y, m) for y, m, change in changes if change != "removed"]
+    if due:
+        run_backfill(spark, raw_base, clean_base, demand_base, months=due, rel_err=rel_err, stats_base=stats_base)
+    for base in (clean_base, demand_base, *([stats_base] if stats_base else [])):
+        drop_stale_months(spark, base, gone)
+    record(now, changes, manifest)
+    return changes

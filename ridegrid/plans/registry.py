@@ -24,10 +24,11 @@ from ..operators import trend as TR
 from ..schemas import PREDICTED_RIDES, RAW_PICKUP, TAXI_RIDES
 from ..session import scratch_path
 from ..sources import lake as L
+from ..sources import manifest as MF
 from ..sources import serve as SV
 from ..sources import typing as TY
 from . import served as Q
-from .monthly_job import run_backfill
+from .monthly_job import run_backfill, run_changed
 from .oracle import CTES, sql
 
 Y, MO = fx.FIXTURE_YEAR, fx.FIXTURE_MONTH
@@ -787,6 +788,59 @@ def row_counts(spark, sf):
     return Q.row_counts(_all_demand(spark, sf), sorted(LOCATION_NAMES))
 
 
+# ------------------------------------------------------------ co-located tables, changed months, merged metrics
+@register("actual_vs_predicted_tables", _msql("""
+SELECT CAST(pickup_location_id AS SMALLINT) AS pickup_location_id, pickup_hour, CAST(rides AS SMALLINT) AS rides,
+       CAST(predicted_rides AS SMALLINT) AS predicted_rides FROM pairs"""))
+def actual_vs_predicted_tables(spark, sf):
+    """Actuals and predictions as bucketed tables of the catalog, paired without an exchange."""
+    path = scratch_path(spark, "served-tables")
+    tag = path.rsplit("-", 1)[-1]
+    dem = S.backfill(_trips(spark, sf))
+    actual = SV.save_table(dem, f"taxi_rides_{tag}", ["pickup_location_id", "pickup_hour"], schema=TAXI_RIDES, path=f"{path}/actual")
+    pred = SV.save_table(fx.predictions_from_demand(dem), f"predicted_rides_{tag}", ["pickup_location_id", "prediction_datetime"],
+                         schema=PREDICTED_RIDES, path=f"{path}/predicted")
+    return M.actual_vs_predicted(actual, pred)
+
+
+@register("changed_months", sql("""
+SELECT DISTINCT CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
+  CASE WHEN year(tpep_pickup_datetime) = 2024 THEN 'added' WHEN month(tpep_pickup_datetime) = 12 THEN 'replaced' ELSE 'removed' END
+    AS change
+FROM trips""", "trips"))
+def changed_months(spark, sf):
+    """After a run over the 2023 months: December's files are replaced, the 2024 ones land, the others go."""
+    base = scratch_path(spark, "changing-lake")
+    raw, manifest = f"{base}/raw", f"{base}/manifest"
+    trips = C.assign_landing_month(_trips(spark, sf))
+    L.write_partitioned(trips.where("year = 2023"), raw)
+    run_changed(spark, raw, f"{base}/clean", f"{base}/demand", manifest)
+    L.write_partitioned(trips.where("year = 2024 or month = 12"), raw)
+    gone = [(r["year"], r["month"]) for r in trips.where("year = 2023 and month <> 12").select("year", "month").distinct().collect()]
+    L.drop_stale_months(spark, raw, dict.fromkeys(gone, False))
+    return MF.changed_months(MF.month_states(spark, raw), MF.recorded_states(spark, manifest))
+
+
+@register("forecast_metrics_merged", _msql("""
+SELECT pickup_location_id, round(avg(abs(rides - p)), 4) AS mae,
+       round(avg(CASE WHEN rides > 0 THEN abs(rides - p) / rides END) * 100, 4) AS mape, count(*) AS n_pairs
+FROM (SELECT *, predicted_rides + CASE WHEN year(pickup_hour) = 2024 THEN 3 ELSE 0 END AS p FROM pairs)
+GROUP BY pickup_location_id"""))
+def forecast_metrics_merged(spark, sf):
+    """Metrics by location from stored month sums after the predictions of 2024 were replaced: their old sums are
+    withdrawn, the new ones added, no other pair is read again."""
+    dem = _all_demand(spark, sf)
+    month = [F.year("pickup_hour").alias("year"), F.month("pickup_hour").alias("month")]
+    pairs = M.actual_vs_predicted(dem, fx.predictions_from_demand(dem)).select("*", *month)
+    path = scratch_path(spark, "metric-sums")
+    L.write_partitioned(M.metric_sums(pairs, ["year", "month", "pickup_location_id"]), path)
+    stored = spark.read.parquet(path)
+    replaced = pairs.where("year = 2024").withColumn("predicted_rides", F.col("predicted_rides") + 3)
+    by = ["pickup_location_id"]
+    total = M.merged_sums([(stored, 1), (stored.where("year = 2024"), -1), (M.metric_sums(replaced, by), 1)], by)
+    return _round(M.metrics_of_sums(total, by), ["mae", "mape"])
+
+
 # ------------------------------------------------------------ trend model, rolling origins (M3)
 TREND = TR.TrendModel()
 #: Three weekly cutoffs, a week ahead each.

@@ -46,6 +46,24 @@ def read_served(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_table(df: DataFrame, name: str, keys: list[str], buckets: int = 32, mode: str = "overwrite",
+               schema: T.StructType | None = None, path: str | None = None) -> DataFrame:
+    """A named, bucketed and sorted served table in the catalog; returns it.
+
+    Rows are dealt to ``buckets`` files by the hash of ``keys`` and sorted by them, so tables with the same keys (of the
+    same types) and buckets join without an exchange.  A table outlives the session where the
+    catalog does; without ``path`` it lies in the catalog's warehouse.  ``append`` adds files to the
+    same buckets.
+    """
+    out = conform(df, schema) if schema is not None else df
+    writer = (out.repartition(buckets, *keys).write.mode(mode).format("parquet")
+              .bucketBy(buckets, *keys).sortBy(*keys))
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def insert_if_absent(target: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``new`` whose key has no row in ``target``, appended to ``target``.
 
