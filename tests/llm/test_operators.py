@@ -283,32 +283,38 @@ def test_sharding(spark, docs, empty, shards, ranges):
     assert sharding.histogram_shards(empty, shards).count() == 0
 
 
+def plain_search(whole, own):
+    """Ids by the search with all boundaries kept."""
+    best = [(0, None, ())] + [None] * len(whole)
+    for end in range(1, len(whole) + 1):
+        for start in range(max(0, end - own.longest), end):
+            got = own.score.get(whole[start:end])
+            if got and (best[end] is None or best[start][0] + got[0] > best[end][0]):
+                best[end] = (best[start][0] + got[0], start, (got[1],))
+        if whole[end - 1] not in own.score:
+            raw = whole[end - 1].encode()
+            score = best[end - 1][0] + own.byte_score * len(raw)
+            if best[end] is None or score > best[end][0]:
+                best[end] = (score, end - 1, tuple(own.byte_ids[b] for b in raw))
+    path, end = [], len(whole)
+    while end:
+        _, end, got = best[end]
+        path.append(got)
+    return [i for got in reversed(path) for i in got]
+
+
 def test_pieces_round_trip_and_search(docs, empty):
-    own = pieces.Pieces(pieces.MODEL)
-    words = pieces.Words(own)
-    for _, t in ROWS:
-        t = (t or "")[:3000]
-        ids = list(pieces.encode_text(t, words))
-        assert pieces.decode_ids(ids, own) == t
+    lanes = pieces.load(pieces.MODEL)
+    own = lanes.pieces
+    texts = [t for _, t in ROWS]  # whole texts
+    ids, ends = pieces.encode_texts(pa.array(texts, pa.string()), lanes)
+    for i, t in enumerate(texts):
+        got = ids[ends[i]:ends[i + 1]].tolist()
+        assert pieces.decode_ids(got, own) == (t or "")
         whole = " " + t if t else ""
-        best = [(0, None, ())] + [None] * len(whole)  # the search with all boundaries kept
-        for end in range(1, len(whole) + 1):
-            for start in range(max(0, end - own.longest), end):
-                got = own.score.get(whole[start:end])
-                if got and (best[end] is None or best[start][0] + got[0] > best[end][0]):
-                    best[end] = (best[start][0] + got[0], start, (got[1],))
-            if whole[end - 1] not in own.score:
-                raw = whole[end - 1].encode()
-                score = best[end - 1][0] + own.byte_score * len(raw)
-                if best[end] is None or score > best[end][0]:
-                    best[end] = (score, end - 1, tuple(own.byte_ids[b] for b in raw))
-        path, end = [], len(whole)
-        while end:
-            _, end, got = best[end]
-            path[:0] = got
         committed = []
-        assert ids == path == own.viterbi(whole, committed)
-        if len(t.split()) > 100:
+        assert got == plain_search(whole, own) == own.viterbi(whole, committed)
+        if len((t or "").split()) > 100:
             assert len(committed) > 5  # ids leave the window as the text is read
     got = pieces.encoded_documents(docs).collect()
     assert sorted(str(r.decoded_sha256) for r in got) == sorted(str(None if t is None else sha(t)) for _, t in ROWS)
@@ -317,6 +323,24 @@ def test_pieces_round_trip_and_search(docs, empty):
     assert pieces.encoded_documents(empty).count() == 0
 
 
+def test_lanes_are_the_streaming_search():
+    lanes = pieces.load(pieces.MODEL)
+    rng = random.Random(9)
+    parts = [*rng.sample(list(lanes.pieces.score), 300), "日本", "ж", "\U0001f600", "zq", "▁", "é", "#", "x"]
+    words = {" " + "".join(rng.choice(parts) for _ in range(rng.randrange(1, 12))).replace(" ", "").replace("\n", "")[:rng.randrange(1, 200)]
+             for _ in range(1500)} | {" ", "   ", "\n", " a", " " + "x" * 95, " " + "x" * 500, " " + "ab" * 45}
+    words = sorted(words)
+    commits = []
+    ids, ends = pieces.encode_words(pa.array([w.encode() for w in words], pa.large_binary()), lanes, commits)
+    for i, w in enumerate(words):
+        assert ids[ends[i]:ends[i + 1]].tolist() == plain_search(w, lanes.pieces), w
+    # short words commit at their end; longer ones also before, whenever the surviving paths have met
+    short, early = commits[0]
+    assert short == sum(len(w) < pieces.LANE for w in words) and early > 20
+    none, at = pieces.encode_words(pa.array([], pa.large_binary()), lanes)
+    assert len(none) == 0 and at.tolist() == [0]
+
+
 def test_secret_scan(spark, empty):
     rng = random.Random(1)
     b64 = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(44))
