@@ -10,9 +10,9 @@ suffix position.  The located spans are merged per document.
 A word that no phrase has cannot lie in an occurrence, so the shard's text is cut there, and pieces
 shorter than the shortest phrase are left out of the index; nothing that could match is lost.
 
-Phrases are sent to the tasks in blocks of at most ``block_bytes`` (a checked size, whatever the
-benchmark's); with more than one block, each block is one pass over the documents and the passes
-are merged per document.
+Phrases are sent to the tasks in blocks of at most ``block_bytes`` of text (measured, whatever the benchmark's
+size; in memory some twenty times that; a larger single item is a block of its own), one block at a time: with
+more than one, each is one pass over the documents and the passes are merged per document.
 
 Defined cases: null or empty texts and items have no words; an item id that repeats counts once, a
 null item id marks words but is not listed; repeated or null document ids are judged row by row;
@@ -20,6 +20,8 @@ other columns come back untouched; empty tables give empty or unmarked results.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -206,14 +208,21 @@ def _judge(shared):
     return run
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int):
-    """Lists of (item, text), each of bounded size, read from the table one block at a time."""
-    items = benchmark.select(F.col(item_id).alias("_item"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    total = items.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    n = 1 if total <= block_bytes else 1 + 2 * total // block_bytes
-    for i in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("_item", "_text"), F.lit(n)) == i)
-        yield [(r["_item"], r["_text"]) for r in part.collect()]
+def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> tuple[int, Iterator[list]]:
+    """(number of blocks, lists of (item, text) read from the table one block at a time).
+
+    Blocks are measured before one is read: none exceeds ``block_bytes`` but by a single item.  Equal rows count once.
+    """
+    items = benchmark.select(F.col(item_id).alias("_item"), F.coalesce(F.col(text), F.lit("")).alias("_text")).distinct()
+    size = F.octet_length("_text")
+    n = 1 + (items.agg(F.sum(size)).first()[0] or 0) // block_bytes
+    while True:
+        block = F.pmod(F.xxhash64("_item", "_text"), F.lit(n))
+        sizes = items.groupBy(block.alias("i")).agg(F.sum(size).alias("bytes"), F.count("*").alias("rows"))
+        if n == 1 or sizes.where((F.col("bytes") > block_bytes) & (F.col("rows") > 1)).isEmpty():
+            break
+        n *= 2
+    return n, ([(r["_item"], r["_text"]) for r in items.where(block == i).collect()] for i in range(n))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -223,16 +232,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     merged ``spans`` of hit words, and ``items``."""
     df, row = C.carried(docs, text, keep)
     sc = docs.sparkSession.sparkContext
-    parts = list(_blocks(benchmark, item_id, item_text, block_bytes))
-    if len(parts) == 1:
-        return C.map_arrow(df, _judge(sc.broadcast(Phrases(parts[0], window))), f"_row {row}, {RESULT}")
+    n, parts = _blocks(benchmark, item_id, item_text, block_bytes)
+    if n == 1:
+        return C.map_arrow(df, _judge(sc.broadcast(Phrases(next(parts), window))), f"_row {row}, {RESULT}")
     numbered = reliable_checkpoint(df.withColumn("_n", F.monotonically_increasing_id()), "decontamination")
     wrapped = numbered.select(F.struct("_row", "_n").alias("_row"), "_text")
-    row = wrapped.schema["_row"].dataType.simpleString()
+    row = C.ddl(wrapped.schema["_row"].dataType)
     every = None
     for part in parts:
-        seen = C.map_arrow(wrapped, _judge(sc.broadcast(Phrases(part, window))), f"_row {row}, {RESULT}")
+        shared = sc.broadcast(Phrases(part, window))
+        seen = C.map_arrow(wrapped, _judge(shared), f"_row {row}, {RESULT}")
         seen = reliable_checkpoint(seen.select("_row._n", "n_words", "spans", "items"), "decontamination")
+        shared.unpersist()  # written: this block is not needed again
         every = seen if every is None else every.unionByName(seen)
     hits = every.groupBy("_n").agg(F.max("n_words").alias("n_words"),
                                    F.flatten(F.collect_list("spans")).alias("spans"),
