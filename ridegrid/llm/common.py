@@ -10,6 +10,7 @@ Conventions used by every operator here:
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from pathlib import Path
@@ -19,8 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ridegrid.session import reliable_checkpoint
+from ridegrid.session import reliable_checkpoint, scratch_path
 
 #: Bytes of text that a task turns into word arrays at a time (a longer text is its own slice).
 SLICE_BYTES = 4 << 20
@@ -191,11 +193,23 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
 
 
+def ddl(kind: T.DataType) -> str:
+    """A type as text that Spark reads back, whatever the names of its fields."""
+    if isinstance(kind, T.StructType):
+        fields = (f"`{f.name.replace('`', '``')}`:{ddl(f.dataType)}" for f in kind.fields)
+        return f"struct<{','.join(fields)}>"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{ddl(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{ddl(kind.keyType)},{ddl(kind.valueType)}>"
+    return kind.simpleString()
+
+
 def carried(docs: DataFrame, text: str, keep: Sequence[str] | None = None) -> tuple[DataFrame, str]:
     """(``_row``: the columns to carry along, all by default; ``_text``), and the type of ``_row``."""
     names = docs.columns if keep is None else keep
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    return df, df.schema["_row"].dataType.simpleString()
+    return df, ddl(df.schema["_row"].dataType)
 
 
 def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
@@ -203,6 +217,41 @@ def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(f, schema)
 
 
+def clustered(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder, in buckets by ``keys``, and read again.
+
+    A join on the keys then moves the other side only.  The catalog knows the table while it is written and
+    opened; its files stay.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    table, n = f"{name.replace('-', '_')}_{uuid.uuid4().hex}", int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
+#: Keys of fewer rows than this are never hot.
+HOT_ROWS = 10_000
+
+
+def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
+    """``big`` joined with ``small``, which has a row per key and ``c``, the key's rows in ``big``.
+
+    The rows of a hot key are divided among several tasks by the hash of ``tie``, and the key's row is copied to
+    them.  A key is hot above a share of the rows that at most four times as many keys as
+    partitions can have; so many rows are broadcast at most.
+    """
+    spark = big.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(HOT_ROWS, (small.agg(F.sum("c")).first()[0] or 0) // (4 * n))
+    copies = F.expr(f"cast((c - 1) div {limit} as int)")
+    hot = small.where(F.col("c") > limit).select(*keys, (copies + 1).alias("_copies"))
+    salted = big.join(F.broadcast(hot), list(keys), "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(*tie), F.col("_copies")).cast("int"), F.lit(0))).drop("_copies")
+    return salted.join(small.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies))), [*keys, "_salt"]).drop("_salt", "c")
+
+
 def _is_star_forest(e: DataFrame) -> bool:
     """Whether every edge (u, v), u > v, leads straight to a root: one edge per u, and no u is a v."""
     ends = e.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("root")).unionByName(

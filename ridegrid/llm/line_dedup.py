@@ -209,7 +209,7 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     drops = dropped.groupBy("doc", "th").agg(F.collect_set("line").alias("_drops"))
     whole = df.join(drops, (F.col("_doc") == F.col("doc")) & (F.col("_th") == F.col("th")), "left")
     return C.map_arrow(whole.select("_row", "_text", "_drops"), _rebuild,
-                       f"_row {df.schema['_row'].dataType.simpleString()}, n_lines long, n_dropped long, kept_text string")
+                       f"_row {C.ddl(df.schema['_row'].dataType)}, n_lines long, n_dropped long, kept_text string")
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:

@@ -153,21 +153,23 @@ def drop_repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """doc_id, n_words, n_removed, kept_text and the maximal ``repeats`` (word spans) of every row."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("_k"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # distinct texts, each under its smallest id; written once.  (k, h) names and orders them
+    # distinct texts, each under its smallest id; written once, by (k, h), which names and orders them
     texts = base.groupBy("text").agg(F.min("_k").alias("k"))
-    texts = reliable_checkpoint(texts.select("k", F.xxhash64("text").alias("h"), "text"), "passages")
+    texts = C.clustered(texts.select("k", F.xxhash64("text").alias("h"), "text"), ["k", "h"], "passages")
 
     anchors = C.map_arrow(texts.select("text"), _occurrences(window, seed, False), "anchor long")
-    again = anchors.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    again = reliable_checkpoint(anchors.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1"), "repeated-anchors")
     found = C.map_arrow(texts, _occurrences(window, seed, True),
                         "anchor long, ext long, k long, h long, first int, n int")
-    found = reliable_checkpoint(found.join(again, "anchor"), "anchors")
-    place = F.struct("k", "h", "first")
-    classes = reliable_checkpoint(found.groupBy("anchor", "ext").agg(F.min(place).alias("earliest")), "anchor-classes")
+    own = ["k", "h", "first"]
+    found = reliable_checkpoint(C.join_hot(found, again, ["anchor"], own), "anchors")
+    place = F.struct(*own)
+    classes = found.groupBy("anchor", "ext").agg(F.min(place).alias("earliest"), F.count("*").alias("c"))
+    classes = reliable_checkpoint(classes, "anchor-classes")
     # an anchor with one class is settled; among several, their earliest members are compared
     mixed = classes.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select(
         "anchor", F.lit(True).alias("mixed"))
-    later = found.join(classes, ["anchor", "ext"]).where(place != F.col("earliest")).select("k", "h", "first", "n")
+    later = C.join_hot(found, classes, ["anchor", "ext"], own).where(place != F.col("earliest")).select(*own, "n")
     later = reliable_checkpoint(later, "later-anchors")
     size = found.groupBy("anchor", "ext").agg(F.min(F.struct("k", "h", "first", "n")).alias("at"))
     part = size.join(mixed, "anchor").select("at.k", "at.h", "at.first", "at.n")

@@ -310,7 +310,7 @@ def compress(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embeddin
     whole, x = V.floored(vectors, scale, vector)
     base = vectors.where(whole).select(F.struct(F.col(f"`{vec_id}`").alias("vec_id"), F.col(f"`{label}`").alias("label")).alias("_row"),
                                        x.alias("x"))
-    row = base.schema["_row"].dataType.simpleString()
+    row = C.ddl(base.schema["_row"].dataType)
     result = f"_row {row}, code string, error long"
     longest = base.agg(F.max(F.size("x"))).first()[0]
     if longest is None:
