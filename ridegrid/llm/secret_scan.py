@@ -4,7 +4,8 @@ A byte-pair vocabulary learnt from real text spends few tokens on words and many
 strings.  Runs of credential characters are cut at the pattern spans and at UUIDs, and what is left at
 punctuation; each part is encoded with a tiktoken vocabulary.  Parts with few characters per token are
 reported as ``random``, neighbours in one span (base 64 holds punctuation), unless they are known
-digests or identifiers (hex digests, plain numbers, one-case words).
+digests or identifiers (hex digests, plain numbers, words that the vocabulary knows).  The vocabulary file must
+lie at the same path on every executor.
 
 Defined cases: a null or empty text has no spans; repeated rows and null ids are scanned row by
 row; the whole text is scanned whatever its length; other columns come back untouched; an empty
@@ -41,6 +42,8 @@ LEAST = 16
 PART = re.compile(r"[A-Za-z0-9]+")
 JOINTS = "+/_=-"
 UUID = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}(?![0-9A-Za-z])")
+#: Words of fewer letters say nothing of their own.
+WORD = 4
 #: A part shorter than this says nothing of its own; below LEAST a part is ordinary from SHORT_RATIO on.
 SHORT, SHORT_RATIO = 4, 2.6
 DIGEST = re.compile(r"(?:0x)?[0-9A-Fa-f]+")
@@ -74,14 +77,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def known_identifier(run: str) -> bool:
-    """Digests, numbers and words joined by punctuation are not secrets of their own."""
+def known_identifier(run: str, encode, max_ratio: float) -> bool:
+    """Digests, numbers and ordinary words joined by punctuation (paths, slugs, dates) are not secrets of their own.
+
+    Words are letters in one case or with one leading capital.  Those of ``WORD`` letters or more must together be
+    ordinary to the vocabulary, in small letters; a random string in one case is not.
+    """
     if DIGEST.fullmatch(run) or NUMBER.fullmatch(run):
         return True
-    parts = re.split(r"[+/_=-]+", run)
-    # every part a number or letters in one case or with one leading capital: paths, slugs, dates
-    return all(p.isdigit() or p.islower() and p.isalpha() or p.isupper() and p.isalpha()
-               or p.isalpha() and p[0].isupper() and p[1:].islower() or not p for p in parts)
+    words = []
+    for p in re.split(r"[+/_=-]+", run):
+        if p.isalpha() and (p.islower() or p.isupper() or p[0].isupper() and p[1:].islower()):
+            words.append(p.lower())
+        elif p and not p.isdigit():
+            return False
+    words = [w for w in words if len(w) >= WORD]
+    letters = sum(map(len, words))
+    return letters < LEAST or letters > max_ratio * sum(len(encode(w)) for w in words)
 
 
 def gaps(start: int, end: int, spans) -> list[tuple[int, int]]:
@@ -97,11 +109,11 @@ def gaps(start: int, end: int, spans) -> list[tuple[int, int]]:
 def random_spans(text: str, taken: list[tuple[int, int, int]], encode, max_ratio: float
                  ) -> list[tuple[int, int, int]]:
     def is_random(run: str) -> bool:
-        return len(run) >= LEAST and not known_identifier(run) and len(run) <= max_ratio * len(encode(run))
+        return len(run) >= LEAST and not known_identifier(run, encode, max_ratio) and len(run) <= max_ratio * len(encode(run))
 
     def ordinary(part: str) -> bool:
         limit = max_ratio if len(part) >= LEAST else SHORT_RATIO
-        return len(part) >= SHORT and (known_identifier(part) or len(part) > limit * len(encode(part)))
+        return len(part) >= SHORT and (known_identifier(part, encode, max_ratio) or len(part) > limit * len(encode(part)))
 
     def search(start: int, end: int) -> list[tuple[int, int]]:
         parts = [(p.start(), p.end()) for p in PART.finditer(text, start, end)]
