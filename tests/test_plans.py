@@ -1,11 +1,11 @@
 """Plan checks: pushdown, pruning, no Python evaluation, no cartesian products."""
 import pytest
 
-import __spark_entry__ as E
 from paths import SF001
 from ridegrid import fixtures as fx
 from ridegrid.operators import clean as C
 from ridegrid.operators import series as S
+from ridegrid.plans.registry import QUERIES
 from ridegrid.session import scratch_path
 from ridegrid.sources import lake as L
 
@@ -50,10 +50,10 @@ def test_clean_layer_read_is_pruned_to_two_columns(spark, lake):
     assert "fare_amount" not in schema and "dropoff" not in schema
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries()
+@pytest.mark.parametrize("name", [n for n in QUERIES
                                   if n not in ("demand_forecast", "forecast_accuracy")])
 def test_no_python_and_no_cartesian(spark, name):
-    p = plan(E.queries()[name](spark, SF001))
+    p = plan(QUERIES[name](spark, SF001))
     assert not any(node in p for node in PYTHON_NODES), name
     assert "CartesianProduct" not in p, name
 
