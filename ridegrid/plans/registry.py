@@ -20,9 +20,11 @@ from ..operators import forecast as FC
 from ..operators import metrics as M
 from ..operators import quantiles as QN
 from ..operators import series as S
+from ..operators import spectrum as SP
 from ..operators import trend as TR
 from ..schemas import PREDICTED_RIDES, RAW_PICKUP, TAXI_RIDES
 from ..session import scratch_path
+from ..sources import compact as CP
 from ..sources import lake as L
 from ..sources import manifest as MF
 from ..sources import serve as SV
@@ -407,6 +409,14 @@ def scan_predictions_csv(spark, sf):
     return L.read_predictions(spark, base, [2024], L.PREDICTION_PARTS)
 
 
+@register("compact_predictions", ORACLE["scan_predictions_csv"])
+def compact_predictions(spark, sf):
+    """The prediction files of ``scan_predictions_csv``, packed into sized Parquet files."""
+    base, out = scratch_path(spark, "predictions-csv"), scratch_path(spark, "predictions-packed")
+    L.write_predictions(fx.predictions(spark, sf), base)
+    return CP.read_compacted(spark, CP.compact_predictions(spark, base, out, [2024], L.PREDICTION_PARTS))
+
+
 @register("prediction_from_parts", sql("""
 SELECT CAST(pickup_location_id AS SMALLINT) AS pickup_location_id, prediction_datetime,
        CAST(predicted_rides AS SMALLINT) AS predicted_rides
@@ -729,6 +739,41 @@ def fourier_features(spark, sf):
     return FE.fourier_features(_all_demand(spark, sf))
 
 
+#: Hours from a location's first to its last, centred; every frequency of every location; its summed power.
+_SPECTRUM_CTES = {
+    "by_hour": """SELECT pickup_location_id AS loc, CAST(floor(epoch(pickup_hour) / 3600) AS BIGINT) AS t, sum(rides) AS x
+FROM demand GROUP BY 1, 2""",
+    "span": "SELECT loc, min(t) AS t0, max(t) - min(t) + 1 AS n, avg(x) AS m FROM by_hour GROUP BY loc",
+    "centred": "SELECT h.loc, s.n, h.t - s.t0 AS t, h.x - s.m AS v FROM by_hour h JOIN span s ON h.loc = s.loc",
+    "freq": "SELECT loc, unnest(range(1, n // 2 + 1)) AS k FROM span",
+    "spec": """SELECT c.loc AS pickup_location_id, c.n AS n_hours, f.k,
+       sum(v * cos(2 * pi() * ((f.k * t) % c.n) / c.n)) AS cos_coef,
+       sum(v * sin(2 * pi() * ((f.k * t) % c.n) / c.n)) AS sin_coef
+FROM centred c JOIN freq f ON c.loc = f.loc GROUP BY 1, 2, 3""",
+    "powers": """SELECT *, CASE WHEN 2 * k = n_hours THEN 1 ELSE 2 END AS sides,
+       (cos_coef * cos_coef + sin_coef * sin_coef) * CASE WHEN 2 * k = n_hours THEN 1 ELSE 2 END / (n_hours * n_hours) AS power
+FROM spec"""}
+
+
+@register("spectrum", _msql("""
+SELECT pickup_location_id, n_hours, k, round(n_hours / k, 4) AS period_hours,
+       round(cos_coef, 4) + CAST(0 AS DOUBLE) AS cos_coef, round(sin_coef, 4) + CAST(0 AS DOUBLE) AS sin_coef,
+       round(sqrt(power * sides), 4) AS amplitude
+FROM powers""", **_SPECTRUM_CTES))
+def spectrum(spark, sf):
+    return SP.amplitudes(SP.spectrum(_all_demand(spark, sf)))
+
+
+@register("dominant_periods", _msql("""
+SELECT pickup_location_id, rank, n_hours, k, round(n_hours / k, 4) AS period_hours,
+       round(sqrt(power * sides), 4) AS amplitude, CASE WHEN round(total, 9) > 0 THEN round(power / total, 4) END AS share
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY pickup_location_id ORDER BY round(power, 6) DESC, k) AS INTEGER) AS rank,
+             sum(power) OVER (PARTITION BY pickup_location_id) AS total FROM powers)
+WHERE rank <= 5""", **_SPECTRUM_CTES))
+def dominant_periods(spark, sf):
+    return SP.dominant_periods(SP.spectrum(_all_demand(spark, sf)))
+
+
 @register("demand_forecast")  # model output: rows-only check
 def demand_forecast(spark, sf):
     return FC.demand_forecast(_all_demand(spark, sf), FORECAST_SPLIT)
