@@ -24,6 +24,7 @@ QUERIES = {f.__name__: f for f in (
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"'[^\x20\x09-\x0D]+'"
 
+#: Targets without character references and dot segments; those are tested on small fixtures.
 OP2 = r"""
 WITH RECURSIVE p AS (
   SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
@@ -40,6 +41,8 @@ t AS (
   FROM (SELECT *, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')) AS x FROM n) n
   WHERE regexp_matches(x, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')),
 a AS (SELECT node, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN target LIKE '#%' THEN url
+    WHEN target LIKE '?%' THEN 'http://' || host || path || target
     WHEN target LIKE '//%' THEN 'http:' || target WHEN target LIKE '/%' THEN 'http://' || host || target
     ELSE 'http://' || host || CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '(?s)^(.*/)', 1) ELSE '/' END
       || target END AS target FROM t WHERE target <> ''),

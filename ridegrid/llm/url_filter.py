@@ -6,8 +6,11 @@ canonical links (``<link rel="canonical">``), closed under connected components.
 allow anywhere in a component takes precedence over its blocks; with neither, the page is allowed.
 A page with a rule of its own keeps that rule's verdict.
 
-URL nodes drop the scheme, the fragment and a leading ``//``; targets without a host are resolved
-against their page.  Defined cases: a null URL, or one without ``://``, has empty host and path, no
+URL nodes drop the scheme, the fragment and a leading ``//``, and their paths' dot segments are resolved
+(``/a/./b/../c`` is ``/a/c``).  Targets are freed of character references (numeric ones, and amp, lt, gt,
+quot, apos, each with its semicolon; once, so ``&amp;#38;`` is ``&#38;``) and resolved against their page: ``//host/..``,
+``/path``, ``?query``, ``#fragment`` and relative paths; a ``<base>`` tag is not looked at.  Targets
+of schemes without ``//`` (mailto:, javascript:, data:) are no aliases.  Defined cases: a null URL, or one without ``://``, has empty host and path, no
 rule and no alias, so it is allowed; null html has no links; repeated rows are judged one by one;
 a page that links to itself adds nothing; an empty table gives an empty result; other columns are
 ignored.
@@ -47,11 +50,47 @@ def best_rule(host: Column, path: Column, rules=RULES) -> Column:
     return pick
 
 
+def without_dots(path: Column) -> Column:
+    """A path from its first slash on, its ``.`` and ``..`` segments resolved."""
+    parts = F.slice(F.split(path, "/"), 2, F.greatest(F.length(path), F.lit(1)))
+    kept = F.reduce(parts, F.array().cast("array<string>"), lambda done, x:
+                    F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+                    .when(x == ".", done).otherwise(F.array_append(done, x)))
+    end = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), end)).otherwise(path)
+
+
 def url_node(url: Column) -> Column:
-    """A URL without scheme and fragment; its host in lower case; null without a host."""
-    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
+    """A URL without scheme, fragment and dot segments; its host in lower case; null without a host."""
+    path, query = url_path(url), F.regexp_extract(url, r"(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)?", 1)
     host = url_host(url)
-    return F.when(host != "", F.concat(host, F.when(rest == "", F.lit("/")).otherwise(rest)))
+    return F.when(host != "", F.concat(host, F.when((path == "") & (query == ""), "/").otherwise(
+        F.concat(without_dots(path), query))))
+
+
+#: Named character references that are decoded; numeric ones are decoded all.
+NAMED = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "apos;": "'"}
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a code point; the replacement character where there is none."""
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def unescaped(text: Column) -> Column:
+    """``text`` with its character references decoded, in one pass from left to right."""
+    def piece(x: Column, i: Column) -> Column:
+        out = F.concat(F.lit("&"), x)
+        for name, char in NAMED.items():
+            out = F.when(x.startswith(name), F.concat(F.lit(char), F.substr(x, F.lit(len(name) + 1)))).otherwise(out)
+        for pattern, radix in ((r"^#0*([0-9]{1,7});", 10), (r"^#[xX]0*([0-9a-fA-F]{1,6});", 16)):
+            number = F.conv(F.regexp_extract(x, pattern, 1), radix, 10).cast("long")
+            rest = F.regexp_replace(x, pattern, "")
+            out = F.when(x.rlike(pattern), F.concat(_code_point(number), rest)).otherwise(out)
+        return F.when(i == 0, x).otherwise(out)
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "&"), piece), "")).otherwise(text)
 
 
 def targets(html: Column) -> Column:
@@ -64,16 +103,20 @@ def targets(html: Column) -> Column:
     refresh = F.transform(
         F.filter(metas, lambda t: t.rlike(r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b")),
         lambda t: F.regexp_extract(t, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))
-    return F.filter(F.concat(canonical, refresh), lambda t: t != "")
+    return F.filter(F.transform(F.concat(canonical, refresh), unescaped), lambda t: t != "")
 
 
 def resolve(url: Column, target: Column) -> Column:
-    """A link target as an absolute URL, seen from the page ``url``."""
+    """A link target as an absolute URL, seen from the page ``url``; null for one that names no page."""
     origin = F.concat(F.lit("http://"), url_host(url))
-    folder = F.regexp_extract(url_path(url), r"(?s)^(.*/)?", 1)
+    path = url_path(url)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)?", 1)
     return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
             .when(target.startswith("//"), F.concat(F.lit("http:"), target))
             .when(target.startswith("/"), F.concat(origin, target))
+            .when(target.startswith("#"), url)
+            .when(target.startswith("?"), F.concat(origin, path, target))
             .otherwise(F.concat(origin, F.when(folder == "", F.lit("/")).otherwise(folder), target)))
 
 

@@ -1,13 +1,16 @@
 """The text operators on a small table with every awkward case, against brute force."""
 import hashlib
+import html
 import math
 import random
 import re
 import zlib
+from urllib.parse import urljoin, urlsplit
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ridegrid.llm import attention_model as A
 from ridegrid.llm import common as C
@@ -380,6 +383,49 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(df.limit(0)).count() == 0
 
 
+def test_url_targets_are_decoded_and_resolved_like_the_standard_library(spark):
+    """Character references against html.unescape, references against urllib's, on random parts."""
+    texts = ["a&amp;b", "&#38;&#x26;&#X2F;", "&amp;#38;", "&lt;&gt;&quot;&apos;", "&", "&&amp;", "x&nosuch;y", "&#8364;&#x1F600;",
+             "&#0;&#xD800;&#x110000;", "", "plain", "&#65;&#066;&#x43;D", "a&#", "&#x;&#;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", url_filter.unescaped(F.col("t")).alias("u"))
+    assert {r.t: r.u for r in df.collect()} == {t: html.unescape(t) for t in texts}
+    rng = random.Random(8)
+    parts = ["a", "b", ".", "..", "c.d", "...", "x"]
+    urls = ["http://h.org/" + "/".join(rng.choice(["a", "b", "c.d"]) for _ in range(rng.randrange(4))) for _ in range(40)]
+    rows = []
+    for url in urls:
+        for _ in range(8):
+            path = "/".join(rng.choice(parts) for _ in range(rng.randrange(1, 6)))
+            rows.append((url, rng.choice(["", "/", "http://o.net/", "//p.com/", "?q=", "#"]) + path))
+    df = spark.createDataFrame(rows, "u string, t string")
+    got = df.select("u", "t", url_filter.url_node(url_filter.resolve(F.col("u"), F.col("t"))).alias("n")).collect()
+    for r in got:
+        # urllib resolves dots of relative references only: join twice, so that absolute ones are resolved too
+        whole = urljoin(r.u, r.t)
+        split = urlsplit(urljoin(whole, urlsplit(whole).path or "/"))
+        query = urlsplit(whole).query
+        assert r.n == split.netloc + split.path + ("?" + query if query else ""), (r.u, r.t, r.n)
+    none = spark.createDataFrame([("http://h.org/a", t) for t in ("mailto:x@y", "javascript:go()", "data:text/html,x")], "u string, t string")
+    assert none.select(url_filter.resolve(F.col("u"), F.col("t")).alias("x")).where("x is not null").count() == 0
+
+
+def test_url_aliases_by_written_variants(spark):
+    """Decisions travel over targets with character references, dot segments and bare queries; long URLs, clashing columns."""
+    link, long = '<link rel="canonical" href="{}">', "http://blk.net/es/" + "d/../" * 3000 + "z"
+    pages = [
+        (1, "http://m.org/x/y/page", link.format("../../deep/./one"), "u"), (2, "http://m.org/deep/one", link.format("http://a.net/es/1"), "v"),
+        (3, "http://n.org/s?a=1&b=2", None, "u"), (4, "http://b.net/fr/2", link.format("http://n.org/s?a=1&amp;b=2"), "v"),
+        (5, "http://q.org/list", link.format("?page=2"), "u"), (6, "http://q.org/list?page=2", link.format("http:&#x2F;&#47;c.net/es/"), None),
+        (7, long, link.format("//tail.org/t"), None), (8, "http://tail.org/t", None, None), (9, "http://tail.org/%74", None, None),
+        (10, "http://r.org/a", link.format("#top"), None), (None, None, None, None),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, node string").withColumn("root", F.lit(1)).withColumn(
+        "host", F.lit("x")).withColumn("u", F.lit("y"))
+    got = {r.page_id: (r.verdict, r.by) for r in url_filter.filter_urls(df).collect()}
+    assert [got[i] for i in (1, 2, 3, 5, 6, 8)] == [("block", "alias")] * 6
+    assert got[4] == got[7] == ("block", "rule") and got[9] == got[10] == got[None] == ("allow", "default")
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(5, 5), (None, 3)]
