@@ -5,7 +5,8 @@ length of a series allows is measured, so that unexpected rhythms are found too.
 
 A series of n hours, from a location's first hour to its last, has the frequencies k = 1 .. n // 2
 (k cycles over the series, a period of n / k hours).  Its mean is taken off first; hours without a
-row, or with a null value, count as the mean.  With x the centred values and t = 0 .. n - 1:
+row, or with a null value, count as the mean.  With x the centred values and t = 0 .. n - 1,
+hours since the first hour:
   cos_coef = sum(x * cos(2 pi k t / n)), sin_coef likewise with sin,
   amplitude = 2 / n * sqrt(cos_coef^2 + sin_coef^2), and half of that for k = n / 2.
 
@@ -26,13 +27,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import epoch_seconds
+from ..functions.time import epoch_seconds, from_epoch_seconds
 from .features import _round4
 
 
 def spectrum(series: DataFrame, hour_col: str = "pickup_hour", loc_col: str = "pickup_location_id",
              value_col: str = "rides") -> DataFrame:
-    """(location, n_hours, k, cos_coef, sin_coef) for every frequency of every location, unrounded."""
+    """(location, first_hour, n_hours, k, cos_coef, sin_coef) for every frequency of every location, unrounded."""
     hours = series.select(F.col(loc_col).alias("loc"), F.floor(epoch_seconds(hour_col) / 3600).cast("long").alias("t"),
                           F.col(value_col).cast("double").alias("x"))
     hours = hours.where("t is not null").groupBy("loc", "t").agg(F.sum("x").alias("x"))
@@ -46,20 +47,22 @@ def spectrum(series: DataFrame, hour_col: str = "pickup_hour", loc_col: str = "p
             dense = np.zeros(n)
             dense[(t - t.min())[known]] = x[known] - x[known].mean()
             c = np.fft.rfft(dense)[1:]
-        return pd.DataFrame({"loc": pd.Series([key[0]] * len(c), dtype=object), "n_hours": np.full(len(c), n),
+        return pd.DataFrame({"loc": pd.Series([key[0]] * len(c), dtype=object), "t0": np.full(len(c), t.min()), "n_hours": np.full(len(c), n),
                              "k": np.arange(1, len(c) + 1), "cos_coef": c.real, "sin_coef": -c.imag})
 
-    schema = T.StructType([T.StructField("loc", series.schema[loc_col].dataType), T.StructField("n_hours", T.LongType()),
-                           T.StructField("k", T.LongType()), T.StructField("cos_coef", T.DoubleType()),
-                           T.StructField("sin_coef", T.DoubleType())])
-    return hours.groupBy("loc").applyInPandas(transform, schema).withColumnRenamed("loc", loc_col)
+    schema = T.StructType([T.StructField("loc", series.schema[loc_col].dataType),
+                           *[T.StructField(c, T.LongType()) for c in ("t0", "n_hours", "k")],
+                           *[T.StructField(c, T.DoubleType()) for c in ("cos_coef", "sin_coef")]])
+    return hours.groupBy("loc").applyInPandas(transform, schema).select(
+        F.col("loc").alias(loc_col), from_epoch_seconds(F.col("t0") * 3600).alias("first_hour"),
+        "n_hours", "k", "cos_coef", "sin_coef")
 
 
 def amplitudes(spec: DataFrame, loc_col: str = "pickup_location_id") -> DataFrame:
     """A spectrum's amplitudes and periods, figures rounded to four decimals."""
     size = F.sqrt(F.col("cos_coef") ** 2 + F.col("sin_coef") ** 2)
     sides = F.when(F.col("k") * 2 == F.col("n_hours"), 1).otherwise(2)
-    return spec.select(loc_col, "n_hours", "k", _round4(F.col("n_hours") / F.col("k")).alias("period_hours"),
+    return spec.select(loc_col, "first_hour", "n_hours", "k", _round4(F.col("n_hours") / F.col("k")).alias("period_hours"),
                        _round4(F.col("cos_coef")).alias("cos_coef"), _round4(F.col("sin_coef")).alias("sin_coef"),
                        _round4(size * sides / F.col("n_hours")).alias("amplitude"))
 
@@ -79,5 +82,5 @@ def dominant_periods(spec: DataFrame, top: int = 5, loc_col: str = "pickup_locat
         "*", F.row_number().over(strongest).alias("rank"),
         F.when(F.round(total, 9) > 0, F.round(F.col("power") / total, 4)).alias("share"))
     return ranked.where(F.col("rank") <= top).select(
-        loc_col, "rank", "n_hours", "k", _round4(F.col("n_hours") / F.col("k")).alias("period_hours"),
+        loc_col, "rank", "first_hour", "n_hours", "k", _round4(F.col("n_hours") / F.col("k")).alias("period_hours"),
         _round4(F.sqrt(F.col("power") * sides)).alias("amplitude"), "share")

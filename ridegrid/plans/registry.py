@@ -744,19 +744,19 @@ _SPECTRUM_CTES = {
     "by_hour": """SELECT pickup_location_id AS loc, CAST(floor(epoch(pickup_hour) / 3600) AS BIGINT) AS t, sum(rides) AS x
 FROM demand GROUP BY 1, 2""",
     "span": "SELECT loc, min(t) AS t0, max(t) - min(t) + 1 AS n, avg(x) AS m FROM by_hour GROUP BY loc",
-    "centred": "SELECT h.loc, s.n, h.t - s.t0 AS t, h.x - s.m AS v FROM by_hour h JOIN span s ON h.loc = s.loc",
+    "centred": "SELECT h.loc, s.t0, s.n, h.t - s.t0 AS t, h.x - s.m AS v FROM by_hour h JOIN span s ON h.loc = s.loc",
     "freq": "SELECT loc, unnest(range(1, n // 2 + 1)) AS k FROM span",
-    "spec": """SELECT c.loc AS pickup_location_id, c.n AS n_hours, f.k,
+    "spec": """SELECT c.loc AS pickup_location_id, make_timestamp(c.t0 * 3600000000) AS first_hour, c.n AS n_hours, f.k,
        sum(v * cos(2 * pi() * ((f.k * t) % c.n) / c.n)) AS cos_coef,
        sum(v * sin(2 * pi() * ((f.k * t) % c.n) / c.n)) AS sin_coef
-FROM centred c JOIN freq f ON c.loc = f.loc GROUP BY 1, 2, 3""",
+FROM centred c JOIN freq f ON c.loc = f.loc GROUP BY 1, 2, 3, 4""",
     "powers": """SELECT *, CASE WHEN 2 * k = n_hours THEN 1 ELSE 2 END AS sides,
        (cos_coef * cos_coef + sin_coef * sin_coef) * CASE WHEN 2 * k = n_hours THEN 1 ELSE 2 END / (n_hours * n_hours) AS power
 FROM spec"""}
 
 
 @register("spectrum", _msql("""
-SELECT pickup_location_id, n_hours, k, round(n_hours / k, 4) AS period_hours,
+SELECT pickup_location_id, first_hour, n_hours, k, round(n_hours / k, 4) AS period_hours,
        round(cos_coef, 4) + CAST(0 AS DOUBLE) AS cos_coef, round(sin_coef, 4) + CAST(0 AS DOUBLE) AS sin_coef,
        round(sqrt(power * sides), 4) AS amplitude
 FROM powers""", **_SPECTRUM_CTES))
@@ -765,7 +765,7 @@ def spectrum(spark, sf):
 
 
 @register("dominant_periods", _msql("""
-SELECT pickup_location_id, rank, n_hours, k, round(n_hours / k, 4) AS period_hours,
+SELECT pickup_location_id, rank, first_hour, n_hours, k, round(n_hours / k, 4) AS period_hours,
        round(sqrt(power * sides), 4) AS amplitude, CASE WHEN round(total, 9) > 0 THEN round(power / total, 4) END AS share
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY pickup_location_id ORDER BY round(power, 6) DESC, k) AS INTEGER) AS rank,
              sum(power) OVER (PARTITION BY pickup_location_id) AS total FROM powers)

@@ -56,6 +56,7 @@ def test_planted_rhythms_come_first(series):
     rows = {(r["pickup_location_id"], r["rank"]): r for r in top.collect()}
     day, sixty = rows[7, 1], rows[7, 2]
     assert (day["period_hours"], day["amplitude"]) == (24.0, 20.0) and (sixty["period_hours"], sixty["amplitude"]) == (60.0, 5.0)
+    assert day["first_hour"] == START and str(top.schema["first_hour"].dataType) == "TimestampNTZType()"
     assert day["share"] == round(400 / 425, 4) and sixty["share"] == round(25 / 425, 4)
     assert rows[9, 1]["amplitude"] == 0 and rows[9, 1]["share"] is None and rows[9, 1]["k"] == 1  # constant: ties to k = 1
 
