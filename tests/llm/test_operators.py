@@ -446,14 +446,22 @@ def test_connected_components(spark):
 
 
 def test_attention_model_gradient_and_windows():
-    shape = A.Shape(classes=5, width=3, window=4, overlap=1)
+    shape = A.Shape(classes=4, members=3, width=3, window=4, overlap=1)
     w = {k: v.astype(np.float64) for k, v in shape.start().items()}
     rng = np.random.default_rng(0)
-    x, y, c = rng.integers(0, 6, (3, 4)), rng.integers(0, 5, (3, 4)), rng.random((3, 4)) < 0.8
+    x, y, c = rng.integers(0, shape.begin + 1, (3, 4)), rng.integers(0, shape.end + 1, (3, 4)), rng.random((3, 4)) < 0.8
 
     def loss():
-        _, logits, total = A.forward(w, shape, x)
-        return -((logits[np.arange(12), y.ravel()] - total) * c.ravel()).sum() / c.sum()
+        h = A.attend(w, shape, x)[-1]
+        total = 0
+        for place in np.flatnonzero(c.ravel()):
+            of, member = divmod(int(y.ravel()[place]), shape.members)
+            logits = h[place] @ w["out"] + w["bias"]
+            total -= logits[of] - math.log(np.exp(logits).sum())
+            if of < shape.classes - 1:
+                logits = h[place] @ w["own"][of] + w["own_bias"][of]
+                total -= logits[member] - math.log(np.exp(logits).sum())
+        return total / c.sum()
 
     g = A.gradient(w, shape, x, y, c)
     for n in w:
@@ -462,7 +470,7 @@ def test_attention_model_gradient_and_windows():
         w[n][at] = keep + 1e-5
         up = loss()
         w[n][at] = keep - 1e-5
-        assert abs((up - loss()) / 2e-5 - g[n][at]) < 1e-5
+        assert abs((up - loss()) / 2e-5 - g[n][at]) < 1e-5, n
         w[n][at] = keep
     lengths = np.array([1, 16, 17, 0, 40])
     first, end, skip = A.windows(lengths, 16, 4)
