@@ -225,8 +225,8 @@ FROM r
 """
 
 #: Scoring by a trained model (1), a token-efficiency test (3), splitters found within a tolerance
-#: (6) and piece encoding (7) have no SQL form.  Tests compare 7, the base columns of 1 and 3 and the law of 6 with
-#: brute force; 1's score and 3's further spans are tested by their properties.
+#: (6) and piece encoding (7) have no SQL form.  Tests compare 1, 7, the base columns of 3 and the law of 6 with
+#: brute force; 3's further spans are tested by their properties.
 ORACLE = {"op2_url_filters": OP2, "op4_benchmark_decontamination": OP4, "op5_ngram_jaccard_join": OP5,
           "op8_line_dedup": OP8, "op9_substring_dedup": OP9, "op10_quality_rules": OP10,
           "op11_exact_top_k_search": OP11, "op12_vector_code_compression": _op12(),
