@@ -8,7 +8,7 @@ The search reads a text from left to right and keeps only the last ``max piece l
 boundaries.  Whenever the back pointers of all kept boundaries meet in one boundary, the ids up to
 it are final and leave the window.  A boundary in front of white space is always such a place (no
 piece continues from a word into white space), so all that stands between two of them, a word, is
-committed with its end at the latest, and equal words have equal ids.  ``Lanes`` is this search over all
+committed with its end at the latest, and equal words have equal ids.  ``Lanes`` is this search over many
 distinct words of a slice of texts at once, one lane a word, a step a character; ``Pieces.viterbi`` is
 the same search over one text, for words of ``LANE`` characters or more.  Nothing is remembered from one slice
 to the next.
@@ -40,6 +40,8 @@ SPACE = "▁"
 UNIT = 1_000_000
 #: Words of this many characters or more are searched one by one.
 LANE = 96
+#: Text in a slice, words searched at a time, and ids turned back into bytes at a time.
+SLICE_BYTES, LANES, IDS = 2 << 20, 1 << 15, 1 << 16
 #: Rolling hashes of code points: the factor, and the bits of the sieve of piece hashes.
 FACTOR, SIEVE = np.uint64(0xD1342543DE82EF95), 20
 
@@ -304,25 +306,29 @@ def encode_words(words: pa.Array, lanes: Lanes, commits: list | None = None) ->
     begins = np.flatnonzero((data & 0xC0) != 0x80)  # the first byte of each character
     codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.int64)
     chars = np.searchsorted(begins, off)
-    short = np.diff(chars) < LANE
-    some, at = gathered(codes, chars, np.flatnonzero(short))
-    ids, ends = lanes.search(some, at, commits)
-    own = _bytes_of(ids, lanes.pieces)
-    if bytes(own) != bytes(gathered(data, off, np.flatnonzero(short))[0]):
-        raise ValueError("ids do not decode to their words: a hash of a piece is not unique")
-    if short.all():
-        return ids, ends
-    # the long words, one by one, put in their places
-    parts, sizes, at = [], np.zeros(len(short), np.int64), iter(np.split(ids, ends[1:-1]) if len(ends) > 1 else [])
-    for i, is_short in enumerate(short.tolist()):
-        part = next(at) if is_short else np.array(lanes.pieces.viterbi(bytes(data[off[i]:off[i + 1]]).decode(), commits), np.int32)
-        parts.append(part)
-        sizes[i] = len(part)
-    return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
+    sizes = np.diff(chars)
+    order = np.argsort(sizes, kind="stable")  # words of like length are searched together
+    n = int(np.count_nonzero(sizes < LANE))
+    parts, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for i in range(0, n, LANES):
+        which = order[i:min(i + LANES, n)]
+        ids, ends = lanes.search(*gathered(codes, chars, which), commits)
+        if bytes(_bytes_of(ids, lanes.pieces)) != bytes(gathered(data, off, which)[0]):
+            raise ValueError("ids do not decode to their words: a hash of a piece is not unique")
+        parts.append(ids)
+        counts.append(np.diff(ends))
+    for i in order[n:].tolist():  # the long words, one by one
+        parts.append(np.array(lanes.pieces.viterbi(bytes(data[off[i]:off[i + 1]]).decode(), commits), np.int32))
+        counts.append(np.array([len(parts[-1])]))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return gathered(np.concatenate(parts), np.concatenate(([0], np.cumsum(np.concatenate(counts)))), place)
 
 
 def _bytes_of(ids: np.ndarray, pieces: Pieces) -> np.ndarray:
-    return gathered(pieces.flat, pieces.ends, ids)[0]
+    if len(ids) <= IDS:
+        return gathered(pieces.flat, pieces.ends, ids)[0]
+    return np.concatenate([gathered(pieces.flat, pieces.ends, ids[i:i + IDS])[0] for i in range(0, len(ids), IDS)])
 
 
 def encode_texts(texts: pa.Array, lanes: Lanes) -> tuple[np.ndarray, np.ndarray]:
@@ -347,7 +353,7 @@ def _encode(path: str, digest: bool = False):
     """Adds ``ids``; with ``digest`` also the SHA-256 of the text that they decode to."""
     def run(batches):
         lanes = load(path)
-        for batch in C.text_slices(batches, "_text"):
+        for batch in C.text_slices(batches, "_text", SLICE_BYTES):
             texts = batch.column("_text")
             ids, ends = encode_texts(texts, lanes)
             null = texts.is_null()

@@ -1,8 +1,12 @@
 """The pipeline's stages on the awkward corpus, each against plain Python on its own input."""
+import hashlib
+import os
 import random
 import re
 import string
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +191,34 @@ def test_one_case_secrets_are_found_and_words_are_not():
     for w in words:
         assert not secret_scan.random_spans(f"see {w} here", [], encode, 2.1), w
     assert re.fullmatch(secret_scan.RUN, words[0])
+
+
+def test_encoding_holds_little_beside_a_batch():
+    """The arrays of a task that encodes a batch of 8 MB with 400,000 different words."""
+    rng = random.Random(17)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(5, 16))) for _ in range(400_000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(2_500)]
+    rows = pa.StructArray.from_arrays([pa.array(range(len(texts)))], names=["doc_id"])
+    batch = pa.RecordBatch.from_arrays([rows, pa.array(texts)], names=["_row", "_text"])
+    pieces.load(pieces.MODEL)
+    tracemalloc.start()
+    try:
+        out = list(pieces._encode(pieces.MODEL, digest=True)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    print("peak MB:", peak / 1e6)
+    got = [d for b in out for d in b.column("decoded_sha256").to_pylist()]
+    assert got == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+    assert peak < 100e6
+
+
+def test_python_workers_give_memory_back(spark):
+    names = list(C.WORKERS)
+
+    def settings(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([os.environ.get(n) for n in names])], names=["name", "value"])
+
+    found = C.map_arrow(spark.range(1, numPartitions=1), settings, "name string, value string").collect()
+    assert {r.name: r.value for r in found} == C.WORKERS
