@@ -12,8 +12,10 @@ hours since the first hour:
 
 Rows of one location and hour are summed before they are grouped by location, so what a task holds of
 a location is bounded by the calendar (an array of its hours), however many rows it has.  All
-frequencies come from one fast transform per location, n log n steps; the same sums as a join of
-hours with frequencies would make n^2 / 2 rows.
+frequencies come from two fast cosine transforms per location (Spark ML's ``DCT``), n log n steps; the same
+sums as a join of hours with frequencies would make n^2 / 2 rows.  With C and S the two sums of a frequency and
+h = pi k / n, the transform of x has at 2k cos(h) C - sin(h) S, and that of x begun one hour later, its first
+hour put last, cos(h) C + sin(h) S.  At k = n / 2, where cos(h) is 0, C is the sum with alternating signs.
 
 Defined cases: rows without an hour are left out; a null location is a location of its own; a
 location with one hour, or with no value at all, has no frequency and no row; a constant series has
@@ -21,11 +23,10 @@ amplitude 0 everywhere and a null share.
 """
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from pyspark.ml.feature import DCT
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.time import epoch_seconds, from_epoch_seconds
 from .features import _round4
@@ -36,26 +37,27 @@ def spectrum(series: DataFrame, hour_col: str = "pickup_hour", loc_col: str = "p
     """(location, first_hour, n_hours, k, cos_coef, sin_coef) for every frequency of every location, unrounded."""
     hours = series.select(F.col(loc_col).alias("loc"), F.floor(epoch_seconds(hour_col) / 3600).cast("long").alias("t"),
                           F.col(value_col).cast("double").alias("x"))
-    hours = hours.where("t is not null").groupBy("loc", "t").agg(F.sum("x").alias("x"))
-
-    def transform(key: tuple[object, ...], rows: pd.DataFrame) -> pd.DataFrame:
-        t, x = rows["t"].to_numpy(), rows["x"].to_numpy(dtype=float)
-        n, known = int(t.max() - t.min()) + 1, ~np.isnan(x)
-        if n < 2 or not known.any():
-            n, c = 0, np.empty(0, dtype=complex)
-        else:
-            dense = np.zeros(n)
-            dense[(t - t.min())[known]] = x[known] - x[known].mean()
-            c = np.fft.rfft(dense)[1:]
-        return pd.DataFrame({"loc": pd.Series([key[0]] * len(c), dtype=object), "t0": np.full(len(c), t.min()), "n_hours": np.full(len(c), n),
-                             "k": np.arange(1, len(c) + 1), "cos_coef": c.real, "sin_coef": -c.imag})
-
-    schema = T.StructType([T.StructField("loc", series.schema[loc_col].dataType),
-                           *[T.StructField(c, T.LongType()) for c in ("t0", "n_hours", "k")],
-                           *[T.StructField(c, T.DoubleType()) for c in ("cos_coef", "sin_coef")]])
-    return hours.groupBy("loc").applyInPandas(transform, schema).select(
-        F.col("loc").alias(loc_col), from_epoch_seconds(F.col("t0") * 3600).alias("first_hour"),
-        "n_hours", "k", "cos_coef", "sin_coef")
+    hours = hours.where("t is not null").groupBy("loc", "t").agg(F.sum("x").alias("x")).withColumn("x", F.expr("if(isnan(x), null, x)"))
+    of_loc = hours.groupBy("loc").agg(
+        F.array_sort(F.collect_list(F.struct("t", "x"))).alias("rows"), F.avg("x").alias("mean"),
+        F.min("t").alias("t0"), (F.max("t") - F.min("t") + 1).alias("n_hours")).where("n_hours > 1 and mean is not null")
+    # an hour's value, and zeros up to the next hour that has a row
+    dense = of_loc.select("loc", "t0", "n_hours", F.expr("""flatten(transform(rows, (r, i) -> concat(
+        array(coalesce(r.x - mean, 0D)), array_repeat(0D, cast(coalesce(get(rows, i + 1).t - r.t, 1) - 1 as int)))))""").alias("x"))
+    signs = F.expr("aggregate(x, struct(0D as s, 1D as f), (a, v) -> struct(a.s + a.f * v as s, -a.f as f)).s")
+    later = F.expr("concat(slice(x, 2, size(x) - 1), slice(x, 1, 1))")
+    both = dense.select("loc", "t0", "n_hours", signs.alias("last"), array_to_vector("x").alias("x"),
+                        array_to_vector(later).alias("later"))
+    for c in ("x", "later"):
+        both = DCT(inputCol=c, outputCol=f"{c}_dct").transform(both)
+    parts = both.select("loc", "t0", "n_hours", "last", vector_to_array("x_dct").alias("d"), vector_to_array("later_dct").alias("e"))
+    # of 2k = 2, 4 .. up to n - 1; the transforms are scaled by sqrt(2 / n)
+    sums = parts.select("loc", "t0", "n_hours", F.explode(F.expr("""concat(
+        transform(filter(sequence(1L, n_hours div 2), k -> 2 * k < n_hours), k -> struct(
+            k, (e[2 * k] + d[2 * k]) * sqrt(n_hours / 2) / (2 * cos(pi() * k / n_hours)) as cos_coef,
+            (e[2 * k] - d[2 * k]) * sqrt(n_hours / 2) / (2 * sin(pi() * k / n_hours)) as sin_coef)),
+        if(n_hours % 2 = 0, array(struct(n_hours div 2 as k, last as cos_coef, 0D as sin_coef)), array()))""")).alias("p"))
+    return sums.select(F.col("loc").alias(loc_col), from_epoch_seconds(F.col("t0") * 3600).alias("first_hour"), "n_hours", "p.*")
 
 
 def amplitudes(spec: DataFrame, loc_col: str = "pickup_location_id") -> DataFrame:

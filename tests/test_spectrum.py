@@ -73,3 +73,16 @@ def test_shares_sum_to_one_and_amplitudes_agree(series):
 
 def test_empty_series(spark, series):
     assert SP.dominant_periods(SP.spectrum(series.limit(0))).count() == 0
+
+
+def test_short_series_and_uneven_lengths_equal_the_direct_sums(spark):
+    lengths = (2, 3, 4, 5, 17, 211, 1000)
+    values = {n: [float((i * i * 7 + 3 * i) % 13) for i in range(n)] for n in lengths}
+    series = spark.createDataFrame([(hour(i), n, v) for n in lengths for i, v in enumerate(values[n])], SCHEMA)
+    spec = SP.spectrum(series)
+    plan = spec._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Arrow" not in plan and "Python" not in plan
+    got = {(r["pickup_location_id"], r["k"]): (r["cos_coef"], r["sin_coef"]) for r in spec.collect()}
+    want = {(n, k): p for n in lengths for k, p in enumerate(direct(values[n]), 1)}
+    assert set(got) == set(want)
+    assert all(abs(got[x][0] - c) < 1e-6 and abs(got[x][1] - s) < 1e-6 for x, (c, s) in want.items())
