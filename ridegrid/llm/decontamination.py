@@ -36,6 +36,8 @@ WINDOW = 13
 SAMPLE = 8
 #: Bytes of benchmark text in one broadcast block.
 BLOCK_BYTES = 4 << 20
+#: Text in one slice, each of which has its own index.
+SLICE_BYTES = 1 << 20
 
 RESULT = "n_words long, spans array<struct<start:bigint,end:bigint>>, items array<string>"
 
@@ -178,12 +180,12 @@ def _mark(words: C.Words, phrases: Phrases):
     return source[index.locate(place)], phrases.lengths[phrase], phrase
 
 
-def _judge(shared):
+def _judge(shared, place: int | None = None):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         phrases = shared.value
-        for batch in C.text_slices(batches, "_text"):
+        for batch in C.text_slices(C.with_text(batches, place), "_text", SLICE_BYTES):
             w = C.words_of(batch.column("_text"), word_bytes=C.ALNUM)
             at, length, phrase = _mark(w, phrases)
             hit = C.cover(at, length, w.n)
@@ -230,11 +232,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
                        block_bytes: int = BLOCK_BYTES, keep=None) -> DataFrame:
     """Every row of ``docs`` (struct ``_row``, of the columns in ``keep``, all by default): n_words,
     merged ``spans`` of hit words, and ``items``."""
-    df, row = C.carried(docs, text, keep)
     sc = docs.sparkSession.sparkContext
     n, parts = _blocks(benchmark, item_id, item_text, block_bytes)
     if n == 1:
-        return C.map_arrow(df, _judge(sc.broadcast(Phrases(next(parts), window))), f"_row {row}, {RESULT}")
+        df, row, place = C.carried_once(docs, text, keep)
+        return C.map_arrow(df, _judge(sc.broadcast(Phrases(next(parts), window)), place), f"_row {row}, {RESULT}")
+    df, _ = C.carried(docs, text, keep)
     numbered = reliable_checkpoint(df.withColumn("_n", F.monotonically_increasing_id()), "decontamination")
     wrapped = numbered.select(F.struct("_row", "_n").alias("_row"), "_text")
     row = C.ddl(wrapped.schema["_row"].dataType)

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from ridegrid.llm import common as C
 
+#: Text in one slice.  The arrays of a slice take some thirty times its bytes.
+SLICE_BYTES = 1 << 20
+
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
             "n_covered long, longest_repeat long")
 
@@ -121,12 +124,12 @@ def duplicate_lines(text: str) -> int:
     return again
 
 
-def _measure(rules: Rules):
+def _measure(rules: Rules, at: int | None = None):
     kinds = [pa.int64()] * 7
     names = [x.split()[0] for x in MEASURES.split(", ")]
 
     def run(batches):
-        for batch in C.text_slices(batches, "_text"):
+        for batch in C.text_slices(C.with_text(batches, at), "_text", SLICE_BYTES):
             texts = batch.column("_text")
             w = C.words_of(texts, lower=False)
             again, covered, longest = repeats(w.codes, w.offsets, rules.window, rules.min_repeat)
@@ -153,8 +156,8 @@ def _measure(rules: Rules):
 def judge(docs: DataFrame, text: str = "text", rules: Rules = Rules(), keep=None) -> DataFrame:
     """Every row of ``docs`` (struct ``_row``, of the columns in ``keep``, all by default) with its
     measures, ``base_failed`` and ``kept``."""
-    df, row = C.carried(docs, text, keep)
-    out = C.map_arrow(df, _measure(rules), f"_row {row}, {MEASURES}")
+    df, row, at = C.carried_once(docs, text, keep)
+    out = C.map_arrow(df, _measure(rules, at), f"_row {row}, {MEASURES}")
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_window_percent * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn(

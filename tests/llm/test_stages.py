@@ -14,7 +14,7 @@ import corpus_pipeline
 from test_operators import ALNUM, ROWS, UP, WORD
 
 from ridegrid.llm import common as C
-from ridegrid.llm import decontamination, jaccard_join, pieces, secret_scan
+from ridegrid.llm import decontamination, jaccard_join, pieces, quality_rules, secret_scan
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, _m string, _id long, _row string, _text string, "
           "`a.b` int, kept_text string, component_id long")
@@ -213,6 +213,42 @@ def test_encoding_holds_little_beside_a_batch():
     assert peak < 100e6
 
 
+def test_quality_rules_and_decontamination_take_little_memory():
+    rng = random.Random(3)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=1500)) for _ in range(900)]  # 9 MB
+    item = " ".join(texts[5].split()[30:60])
+    rows = pa.StructArray.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    batch = pa.RecordBatch.from_arrays([rows], names=["_row"])
+
+    class Shared:
+        value = decontamination.Phrases([("b", item)], decontamination.WINDOW)
+
+    def peak_of(run):
+        tracemalloc.start()
+        try:
+            return list(run(iter([batch]))), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    out, peak = peak_of(quality_rules._measure(quality_rules.Rules(), 1))
+    assert [n for b in out for n in b.column("n_words").to_pylist()] == [1500] * len(texts)
+    assert pa.Table.from_batches(out).column("_row").to_pylist() == rows.to_pylist()
+    assert peak < 60e6
+    out, peak = peak_of(decontamination._judge(Shared, 1))
+    assert [i for i, x in enumerate(x for b in out for x in b.column("items").to_pylist()) if x] == [5]
+    assert peak < 40e6
+
+
+def test_texts_travel_to_python_once(docs, sf_dir, spark):
+    benchmark = C.table(spark, sf_dir, "benchmark")
+    for out in (quality_rules.judge(docs), decontamination.find_contamination(docs, benchmark)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"MapInArrow run\(_row#\d+\)", plan), plan
+    assert re.search(r"MapInArrow run\(_row#\d+, _text#\d+\)",
+                     quality_rules.judge(docs, keep=["doc_id"])._jdf.queryExecution().optimizedPlan().toString())
+
+
 def test_python_workers_give_memory_back(spark):
     names = list(C.WORKERS)
 
