@@ -259,6 +259,32 @@ def test_jaccard_join_loses_no_link(spark):
     assert sorted(tuple(r)[:3] for r in got) == sorted(components(rows))
 
 
+@pytest.mark.parametrize("order", ["sampled", "none", "any"])
+def test_jaccard_join_is_whole_whichever_shingles_are_counted(spark, monkeypatch, order):
+    """Frequent shingles only come later in the order: counted in few texts, none known, or any with any count."""
+    rng = random.Random(9)
+    bag = [f"v{i}" for i in range(3000)]
+    common = [rng.choice(bag) for _ in range(12)]
+    rows = []
+    for _ in range(8):
+        base = [rng.choice(bag) for _ in range(rng.choice((7, 30, 90)))] + common
+        for _ in range(25):
+            w = list(base)
+            for _ in range(rng.randrange(0, max(2, len(w) // 12))):
+                w[rng.randrange(len(w))] = rng.choice(bag)
+            rows.append((len(rows), " ".join(w)))
+    rows += [(len(rows) + i, " ".join(common + [f"end{i}"] * (i % 4))) for i in range(40)]
+    if order == "sampled":
+        monkeypatch.setattr(jaccard_join, "SAMPLE_TEXTS", 8)
+    else:
+        known = np.unique(np.concatenate(jaccard_join.shingle_sets(pa.array([t for _, t in rows]))))
+        known = known[:0] if order == "none" else np.random.default_rng(9).choice(known, len(known) // 2, replace=False)
+        frequent = jaccard_join.Frequent(known, np.random.default_rng(8).integers(3, 99, len(known)))
+        monkeypatch.setattr(jaccard_join, "frequent_shingles", lambda texts, count: frequent)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r)[:3] for r in got) == sorted(components(rows))
+
+
 def test_sketch_distance_bounds_the_difference():
     rng = np.random.default_rng(4)
     pool = rng.integers(0, 2**63, 9000).astype(np.uint64)
